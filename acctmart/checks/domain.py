@@ -2,193 +2,183 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctmart.operators.joins import splittable_join
 from acctmart.schemas import TABLES, conform
 from acctmart.sources.catalog import Tables
 
-_DAY = "yyyy-MM-dd"
-
-
-def _tax_id(key: str) -> Column:
-    return F.lpad(F.col(key).cast("string"), 11, "0")
-
-
-def _day_text(first: str, key: str) -> Column:
-    days = (F.col(key) % 20000).cast("int")
-    return F.date_format(F.date_add(F.lit(first).cast("date"), days), _DAY)
+# Declared, so that opening a table runs no job to find its columns.
+_GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+        "c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": "l_orderkey bigint, l_extendedprice double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
 
 
-def _codes(column: str, pairs: dict[str, str], other: str) -> Column:
-    case = F.lit(other)
-    for text, code in pairs.items():
-        case = F.when(F.col(column) == text, code).otherwise(case)
-    return case
+def read_given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def domain_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """Every input table of the plans, derived row by row from the given tables."""
 
+    @cache
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return read_given(spark, sf_dir, name)
 
     def product() -> DataFrame:
-        return read("nation").select(
-            F.col("n_nationkey").alias("id_produto"),
-            F.col("n_name").alias("ds_produto"),
-            (F.col("n_nationkey") * 10000).cast("decimal(18,2)").alias("vl_faturamento_minimo"),
+        return read("nation").selectExpr(
+            "n_nationkey AS id_produto",
+            "n_name AS ds_produto",
+            "CAST(n_nationkey * 10000 AS DECIMAL(18,2)) AS vl_faturamento_minimo",
         )
 
     def account() -> DataFrame:
-        blocked = F.col("c_acctbal") < 0
-        return read("customer").select(
-            F.col("c_custkey").alias("id_conta"),
-            _tax_id("c_custkey").alias("nu_cpf_cnpj"),
-            F.col("c_mktsegment").alias("ds_status_conta"),
-            F.concat(F.lit("LOJA "), "c_mktsegment").alias("nm_origem_comercial"),
-            F.when(blocked, "BLOQUEADO").otherwise("ATIVO").alias("ds_status_cartao"),
-            F.when(blocked, "SALDO").alias("ds_motivo_bloqueio_cartao"),
-            F.col("c_nationkey").alias("id_produto"),
-            F.concat(F.lit("PRODUTO "), F.col("c_nationkey").cast("string")).alias("nm_produto"),
-            (F.col("c_nationkey") + 1).alias("nu_dias_atraso"),
+        return read("customer").selectExpr(
+            "c_custkey AS id_conta",
+            "lpad(string(c_custkey), 11, '0') AS nu_cpf_cnpj",
+            "c_mktsegment AS ds_status_conta",
+            "'LOJA ' || c_mktsegment AS nm_origem_comercial",
+            "if(c_acctbal < 0, 'BLOQUEADO', 'ATIVO') AS ds_status_cartao",
+            "if(c_acctbal < 0, 'SALDO', NULL) AS ds_motivo_bloqueio_cartao",
+            "c_nationkey AS id_produto",
+            "'PRODUTO ' || string(c_nationkey) AS nm_produto",
+            "c_nationkey + 1 AS nu_dias_atraso",
         )
 
     def invoice() -> DataFrame:
-        urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-        money = F.col("o_totalprice").cast("decimal(18,2)")
-        return read("orders").select(
-            F.col("o_orderkey").alias("id_fatura"),
-            F.col("o_orderkey").alias("id_processamento"),
-            F.col("o_custkey").alias("id_conta"),
-            F.dayofmonth("o_orderdate").alias("id_ciclo"),
-            (F.col("o_orderkey") - 1).alias("id_fatura_anterior"),
-            F.col("o_orderdate").alias("dt_processamento"),
-            F.col("o_orderdate").alias("dt_vencimento"),
-            F.when(F.col("o_orderstatus") == "F", "S").otherwise("N").alias("fl_ativa"),
-            F.when(F.col("o_orderstatus") == "O", "S").otherwise("N").alias("fl_envia_email"),
-            F.lit("N").alias("fl_realiza_impressao"),
-            F.when(urgent, "S").otherwise("N").alias("fl_envia_sms_directone"),
-            money.alias("vl_fatura"),
-            (money / 10).cast("decimal(18,2)").alias("vl_pagamento_minimo"),
-            F.lit(0).cast("decimal(18,2)").alias("vl_total_pago"),
-            F.col("o_orderdate").alias("dt_inclusao"),
+        return read("orders").selectExpr(
+            "o_orderkey AS id_fatura",
+            "o_orderkey AS id_processamento",
+            "o_custkey AS id_conta",
+            "dayofmonth(o_orderdate) AS id_ciclo",
+            "o_orderkey - 1 AS id_fatura_anterior",
+            "o_orderdate AS dt_processamento",
+            "o_orderdate AS dt_vencimento",
+            "if(o_orderstatus = 'F', 'S', 'N') AS fl_ativa",
+            "if(o_orderstatus = 'O', 'S', 'N') AS fl_envia_email",
+            "'N' AS fl_realiza_impressao",
+            "if(o_orderpriority IN ('1-URGENT', '2-HIGH'), 'S', 'N') AS fl_envia_sms_directone",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS vl_fatura",
+            "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.1 AS DECIMAL(18,2)) "
+            "AS vl_pagamento_minimo",
+            "CAST(0 AS DECIMAL(18,2)) AS vl_total_pago",
+            "o_orderdate AS dt_inclusao",
         )
 
     def payment() -> DataFrame:
-        owner = read("orders").select(F.col("o_orderkey"), F.col("o_custkey"))
-        lines = read("lineitem").join(owner, F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines.select(
-            F.col("l_orderkey").alias("id_fatura"),
-            F.col("o_custkey").alias("id_conta"),
-            F.col("l_shipdate").alias("dt_pagamento"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("vl_pagamento"),
+        owner = read("orders").select("o_orderkey", "o_custkey")
+        lines = splittable_join(read("lineitem"), owner, ["l_orderkey"], right_on=["o_orderkey"])
+        return lines.selectExpr(
+            "l_orderkey AS id_fatura",
+            "o_custkey AS id_conta",
+            "l_shipdate AS dt_pagamento",
+            "CAST(l_extendedprice AS DECIMAL(18,2)) AS vl_pagamento",
         )
 
     def sale() -> DataFrame:
-        return read("orders").select(
-            F.col("o_custkey").alias("id_conta"),
-            F.col("o_orderdate").alias("dt_venda"),
-            F.when(F.col("o_orderstatus") == "F", "A").otherwise("C").alias("fl_status"),
+        return read("orders").selectExpr(
+            "o_custkey AS id_conta",
+            "o_orderdate AS dt_venda",
+            "if(o_orderstatus = 'F', 'A', 'C') AS fl_status",
         )
 
     def instalment() -> DataFrame:
-        active = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")
-        return read("orders").select(
-            F.col("o_custkey").alias("id_conta"),
-            F.when(active, "A").otherwise("Q").alias("fl_status"),
+        return read("orders").selectExpr(
+            "o_custkey AS id_conta",
+            "if(o_orderpriority = '5-LOW' AND o_orderstatus = 'P', 'A', 'Q') AS fl_status",
         )
 
     def client() -> DataFrame:
-        return read("customer").where(F.col("c_acctbal") >= 0).select(
-            F.col("c_custkey").alias("id_conta"),
-            _day_text("2000-01-01", "c_custkey").alias("dt_cadastro"),
-            _tax_id("c_custkey").alias("nu_cpf_cnpj"),
-            F.substring("c_mktsegment", 1, 1).alias("fl_status_conta"),
+        return read("customer").where("c_acctbal >= 0").selectExpr(
+            "c_custkey AS id_conta",
+            "string(date_add(DATE '2000-01-01', int(c_custkey % 20000))) AS dt_cadastro",
+            "lpad(string(c_custkey), 11, '0') AS nu_cpf_cnpj",
+            "left(c_mktsegment, 1) AS fl_status_conta",
         )
 
     def form_field() -> DataFrame:
-        code = F.when(F.col("r_name") == "AFRICA", "contratante.dadosPessoais.cpf")
-        return read("region").select(
-            F.col("r_regionkey").cast("bigint").alias("id_campo"),
-            code.otherwise(F.col("r_name")).alias("ds_codigo"),
+        return read("region").selectExpr(
+            "bigint(r_regionkey) AS id_campo",
+            "if(r_name = 'AFRICA', 'contratante.dadosPessoais.cpf', r_name) AS ds_codigo",
         )
 
     def form_answer() -> DataFrame:
         nations = read("nation").select("n_nationkey", "n_regionkey")
-        return (
-            read("customer")
-            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("n_regionkey").cast("bigint").alias("id_campo"),
-                F.col("c_custkey").alias("id_adesao"),
-                _tax_id("c_custkey").alias("vl_resposta"),
-            )
+        located = read("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        return located.selectExpr(
+            "bigint(n_regionkey) AS id_campo",
+            "c_custkey AS id_adesao",
+            "lpad(string(c_custkey), 11, '0') AS vl_resposta",
         )
 
     def enrolment() -> DataFrame:
-        statuses = {
-            "BUILDING": "ATIVA",
-            "MACHINERY": "PENDENTE_CONFIRMACAO_PROVEDOR",
-            "HOUSEHOLD": "INCONSISTENTE",
-        }
-        return read("customer").select(
-            F.col("c_custkey").alias("id_adesao"),
-            (F.col("c_custkey") % 7 + 1).cast("string").alias("id_produto"),
-            _codes("c_mktsegment", statuses, "CANCELADA").alias("ds_status"),
+        return read("customer").selectExpr(
+            "c_custkey AS id_adesao",
+            "string(c_custkey % 7 + 1) AS id_produto",
+            "CASE c_mktsegment WHEN 'BUILDING' THEN 'ATIVA' "
+            "WHEN 'MACHINERY' THEN 'PENDENTE_CONFIRMACAO_PROVEDOR' "
+            "WHEN 'HOUSEHOLD' THEN 'INCONSISTENTE' ELSE 'CANCELADA' END AS ds_status",
         )
 
     def dependent() -> DataFrame:
-        return read("customer").select(
-            F.col("c_custkey").alias("id_adesao_titular"),
-            (F.col("c_custkey") + 1).alias("id_adesao_dependente"),
+        return read("customer").selectExpr(
+            "c_custkey AS id_adesao_titular", "c_custkey + 1 AS id_adesao_dependente"
         )
 
     def customer() -> DataFrame:
         nations = read("nation").select("n_nationkey", "n_name")
-        return (
-            read("customer")
-            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("c_custkey").alias("id_conta"),
-                F.col("c_name").alias("nm_cliente"),
-                F.concat(F.lower("c_name"), F.lit("@example.com")).alias("ds_email"),
-                F.col("n_name").alias("cd_uf"),
-                F.repeat("c_mktsegment", 7).alias("nm_bairro"),
-                F.repeat("c_name", 5).alias("nm_logradouro"),
-                F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("nu_cep"),
-                F.lit("10").alias("nu_endereco"),
-                _tax_id("c_custkey").alias("nu_cpf_cnpj"),
-                _day_text("1950-01-01", "c_custkey").alias("dt_nascimento"),
-                F.lit("F").alias("fl_sexo"),
-                F.repeat("n_name", 5).alias("nm_cidade"),
-                F.lit("F").alias("fl_tipo_pessoa"),
-                F.lit("0").alias("nu_rg"),
-            )
+        located = read("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        return located.selectExpr(
+            "c_custkey AS id_conta",
+            "c_name AS nm_cliente",
+            "lower(c_name) || '@example.com' AS ds_email",
+            "n_name AS cd_uf",
+            "repeat(c_mktsegment, 7) AS nm_bairro",
+            "repeat(c_name, 5) AS nm_logradouro",
+            "lpad(string(c_custkey), 8, '0') AS nu_cep",
+            "'10' AS nu_endereco",
+            "lpad(string(c_custkey), 11, '0') AS nu_cpf_cnpj",
+            "string(date_add(DATE '1950-01-01', int(c_custkey % 20000))) AS dt_nascimento",
+            "'F' AS fl_sexo",
+            "repeat(n_name, 5) AS nm_cidade",
+            "'F' AS fl_tipo_pessoa",
+            "'0' AS nu_rg",
         )
 
     def registration() -> DataFrame:
-        return read("events").where(F.col("event_type") == "signup").select(
-            F.col("user_id").alias("id_conta"),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("dt_cadastro"),
+        return read("events").where("event_type = 'signup'").selectExpr(
+            "user_id AS id_conta", "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS dt_cadastro"
         )
 
     def phone() -> DataFrame:
-        area = (F.col("event_id") % 80 + 11).cast("string")
-        digits = F.when(F.col("event_type") == "error", 8).otherwise(9)
-        number = F.lpad(F.col("event_id").cast("string"), digits, F.lit("0"))
-        return read("events").select(
-            F.col("user_id").alias("id_conta"),
-            F.concat(area, number).alias("telefone_celular"),
+        return read("events").selectExpr(
+            "user_id AS id_conta",
+            "string(11 + event_id % 80) || "
+            "lpad(string(event_id), if(event_type = 'error', 8, 9), '0') AS telefone_celular",
         )
 
     def postal_range() -> DataFrame:
-        return read("supplier").select(
-            F.col("s_suppkey").alias("seqcidade"),
-            (F.col("s_suppkey") * 20).alias("cepinicial"),
-            (F.col("s_suppkey") * 20 + 24).alias("cepfinal"),
-            F.col("s_name").alias("cidade"),
-            F.when(F.col("s_acctbal") >= 0, F.col("s_nationkey")).cast("bigint").alias("codmunicipio"),
+        return read("supplier").selectExpr(
+            "s_suppkey AS seqcidade",
+            "s_suppkey * 20 AS cepinicial",
+            "s_suppkey * 20 + 24 AS cepfinal",
+            "s_name AS cidade",
+            "bigint(if(s_acctbal >= 0, s_nationkey, NULL)) AS codmunicipio",
         )
 
     builders = [

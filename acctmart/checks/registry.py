@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from acctmart.checks.domain import domain_tables
+from acctmart.checks.domain import domain_tables, read_given
 from acctmart.functions import clean
 from acctmart.operators import filters, flags, groups, lookup, positions
 from acctmart.plans import account_mart, billed_mart, customer_queue, history
@@ -25,14 +25,8 @@ CHUNK_WIDTH = 2000
 
 def _plain_numbers(df: DataFrame) -> DataFrame:
     """Decimals as doubles, the form the results are compared in."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, DecimalType)
-            else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+    decimals = [f.name for f in df.schema if isinstance(f.dataType, DecimalType)]
+    return df.withColumns({name: F.col(name).cast("double") for name in decimals})
 
 
 def _coverage_flags(t: TableMap) -> DataFrame:
@@ -187,7 +181,7 @@ def _chunk_overlap_union(t: TableMap) -> DataFrame:
 
 
 def _rename_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").toDF("0", "1", "2", "3")
+    rows = read_given(spark, sf_dir, "supplier").toDF("0", "1", "2", "3")
     return catalog.rename_by_position(rows, ["Seqcidade", "Cidade", "Codmunicipio", "Saldo"])
 
 

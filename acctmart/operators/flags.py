@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acctmart.functions.clean import present
+from acctmart.operators.joins import splittable_join
 
 
 def key_flags(rows: DataFrame, key: str, conditions: Mapping[str, Column]) -> DataFrame:
@@ -23,25 +23,38 @@ def key_flags(rows: DataFrame, key: str, conditions: Mapping[str, Column]) -> Da
 
 
 def with_flags(
-    df: DataFrame, key: str, flags: DataFrame, flags_key: str, names: list[str]
+    df: DataFrame,
+    key: str,
+    flags: DataFrame,
+    flags_key: str,
+    names: list[str],
+    repeated_keys: bool = True,
 ) -> DataFrame:
-    """Left join flag columns, 0 where the key is missing. Rows are never repeated."""
+    """Left join flag columns, 0 where the key is missing. Rows are never repeated.
+
+    ``flags`` has one row per key. Where ``df`` also has about one row per key, pass
+    ``repeated_keys=False`` to join on the partitioning that ``df`` already has.
+    """
     right = flags.select(F.col(flags_key).alias("_flag_key"), *names)
-    joined = df.join(right, df[key] == right["_flag_key"], "left")
-    return joined.select(
-        *[df[c] for c in df.columns],
-        *[F.coalesce(right[name], F.lit(0)).alias(name) for name in names],
-    )
+    if repeated_keys:
+        joined = splittable_join(df, right, [key], "left", ["_flag_key"])
+    else:
+        joined = df.join(right, F.col(key) == F.col("_flag_key"), "left").drop("_flag_key")
+    return joined.fillna(0, names)
 
 
 def with_exists_flag(
-    df: DataFrame, key: str, rows: DataFrame, rows_key: str, name: str
+    df: DataFrame,
+    key: str,
+    rows: DataFrame,
+    rows_key: str,
+    name: str,
+    repeated_keys: bool = True,
 ) -> DataFrame:
     """Flag ``name``: 1 where the key occurs in ``rows``."""
-    keys = rows.select(F.col(rows_key).alias("_flag_key")).where("_flag_key IS NOT NULL").distinct()
-    joined = df.join(keys, df[key] == keys["_flag_key"], "left")
-    return joined.select(
-        *[df[c] for c in df.columns], present(keys["_flag_key"]).alias(name)
+    keys = rows.select(rows_key).where(F.col(rows_key).isNotNull()).distinct()
+    return with_flags(
+        df, key, keys.withColumn(name, F.lit(1)), rows_key, [name], repeated_keys
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acctmart.operators.joins import splittable_join
+
 
 def key_span(df: DataFrame, key: str, day: str, last: str, first: str) -> DataFrame:
     """Latest and earliest ``day`` per key."""
@@ -28,16 +30,14 @@ def key_totals(
     """
     totals = (
         df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_total_key"))
+        .groupBy(key)
         .agg(
             F.coalesce(F.sum(amount), F.lit(0)).alias(amount),
             F.max(day).alias(day),
         )
     )
     pairs = df.select(key, member).distinct()
-    return pairs.join(totals, pairs[key] == totals["_total_key"], "left").select(
-        pairs[key], pairs[member], totals[amount], totals[day]
-    )
+    return splittable_join(pairs, totals, [key], "left")
 
 
 def top_two(df: DataFrame, key: str, value: str, first: str, second: str) -> DataFrame:

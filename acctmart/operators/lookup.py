@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acctmart.operators.joins import splittable_join
+
 _STEP = 4  # each level merges 2**4 neighbours of the level below
 _LEVELS = 15
 
@@ -103,9 +105,10 @@ def range_lookup(
         .withColumn("block", F.expr(f"shiftright(_code, level * {_STEP})"))
     )
     found = (
-        probes.join(blocks, ["level", "block"])
+        splittable_join(probes, blocks, ["level", "block"])
         .groupBy("_code")
         .agg(F.min("value").alias("_found"))
     )
-    joined = df.join(found, df[code].cast("bigint") == found["_code"], "left")
-    return joined.select(*[df[c] for c in df.columns], found["_found"].alias(out))
+    numbered = df.withColumn("_number", F.col(code).cast("bigint"))
+    joined = splittable_join(numbered, found, ["_number"], "left", ["_code"])
+    return joined.drop("_number").withColumnRenamed("_found", out)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctmart.operators.groups import descending
+from acctmart.operators.joins import splittable_join
 from acctmart.session import ensure_checkpoint_dir
 
 # monotonically_increasing_id keeps the partition number above bit 33.
@@ -110,12 +111,10 @@ def _rank_hot(df: DataFrame, key: str, value: str, out: str, block: int) -> Data
     placed = running.join(
         F.broadcast(offsets), F.col("_part") == F.col("_offset_part")
     ).select(key, value, "_copies", (F.col("_offset") + F.col("_before")).alias("_position"))
-    starts = placed.groupBy(F.col(key).alias("_start_key")).agg(
-        F.min("_position").alias("_start")
-    )
-    ranked = placed.join(starts, placed[key] == starts["_start_key"]).select(
-        placed[key],
-        placed[value],
+    starts = placed.groupBy(key).agg(F.min("_position").alias("_start"))
+    ranked = splittable_join(placed, starts, [key]).select(
+        key,
+        value,
         "_copies",
         (F.col("_position") - F.col("_start") + 1).alias("_first_rank"),
     )

@@ -57,7 +57,12 @@ def account_profiles(extracts: Mapping[str, DataFrame]) -> DataFrame:
         .join(extracts["sale_spans"], "id_conta", "left")
     )
     profiles = with_exists_flag(
-        profiles, "id_conta", extracts["instalments"], "id_conta", "fl_possui_parcelamento_fatura"
+        profiles,
+        "id_conta",
+        extracts["instalments"],
+        "id_conta",
+        "fl_possui_parcelamento_fatura",
+        repeated_keys=False,
     )
     names = ["fl_possui_seguros", "fl_possui_odonto", "fl_possui_fatura_garantida"]
     covered = coverage(extracts["insurance"], *names)

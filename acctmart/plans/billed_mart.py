@@ -57,7 +57,12 @@ def billed_profiles(extracts: Mapping[str, DataFrame]) -> DataFrame:
         .join(extracts["client_statuses"].distinct(), ["id_conta", "nu_cpf_cnpj"], "left")
     )
     profiles = with_exists_flag(
-        profiles, "id_conta", extracts["instalments"], "id_conta", "fl_possui_parcelamento_fatura"
+        profiles,
+        "id_conta",
+        extracts["instalments"],
+        "id_conta",
+        "fl_possui_parcelamento_fatura",
+        repeated_keys=False,
     )
     names = ["flgPossuiSeguros", "flgPossuiOdonto", "flgPossuiFaturaGarantida"]
     covered = coverage(extracts["insurance"], *names)

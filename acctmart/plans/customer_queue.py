@@ -20,6 +20,7 @@ from acctmart.functions.clean import (
 )
 from acctmart.operators.filters import since_days
 from acctmart.operators.groups import top_two
+from acctmart.operators.joins import SMALL_ROWS, checkpoint_and_size, splittable_join
 from acctmart.operators.positions import assign_dense_ids
 from acctmart.schemas import CUSTOMER_QUEUE, conform
 from acctmart.sources.extracts import CUSTOMER_QUEUE_EXTRACTS, TableMap
@@ -38,20 +39,30 @@ def recent_registrations(
 
 
 def new_customers(
-    extracts: Mapping[str, DataFrame], as_of: date | None, mode: str = STRICT
+    extracts: Mapping[str, DataFrame],
+    as_of: date | None,
+    mode: str = STRICT,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Recently registered customers that have a phone row, before cleaning.
 
-    The recency filter comes first, so the other tables join against few accounts. Equal
-    rows are removed on the uncleaned values: two registrations on one day both stay.
+    The recency filter comes first. Where few rows pass it, they are broadcast, and neither
+    the wide customer rows nor the phones of other accounts are shuffled. Equal rows are
+    removed on the uncleaned values: two registrations on one day both stay.
     """
-    recent = recent_registrations(extracts["registrations"], as_of, mode)
-    two_phones = top_two(
-        extracts["phones"], "id_conta", "fone_celular", "fone_celular_1", "fone_celular_2"
-    )
-    return (
-        extracts["customers"].join(recent, "id_conta").join(two_phones, "id_conta").distinct()
+    recent, small = checkpoint_and_size(
+        recent_registrations(extracts["registrations"], as_of, mode).distinct(), small_rows
     )
+    names = ["fone_celular", "fone_celular_1", "fone_celular_2"]
+    if small:
+        recent = F.broadcast(recent)
+        accounts = recent.select("id_conta")
+        phones = extracts["phones"].join(F.broadcast(accounts), "id_conta", "left_semi")
+        registered = extracts["customers"].join(recent, "id_conta")
+    else:
+        phones = extracts["phones"]
+        registered = splittable_join(extracts["customers"], recent, ["id_conta"])
+    return registered.join(top_two(phones, "id_conta", *names), "id_conta").distinct()
 
 
 def clean_customers(customers: DataFrame, mode: str = STRICT) -> DataFrame:

@@ -103,18 +103,21 @@ def _same_kind(have: DataType, want: DataType) -> bool:
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the schema's columns by name (any case), in its order and types."""
-    present = {name.lower(): name for name in df.columns}
+    present = {field.name.lower(): field for field in df.schema}
     missing = [f.name for f in schema if f.name.lower() not in present]
     if missing:
         raise ValueError(f"columns missing: {', '.join(missing)}")
 
-    def typed(name: str, field: StructField) -> Column:
-        column = df[present[name.lower()]]
-        if not _same_kind(df.schema[present[name.lower()]].dataType, field.dataType):
-            column = column.cast(field.dataType)
-        return column.alias(field.name)
+    def typed(want: StructField) -> Column | str:
+        have = present[want.name.lower()]
+        if have.name == want.name and _same_kind(have.dataType, want.dataType):
+            return have.name
+        column = F.col(have.name)
+        if not _same_kind(have.dataType, want.dataType):
+            column = column.cast(want.dataType)
+        return column.alias(want.name)
 
-    return df.select(*[typed(f.name, f) for f in schema])
+    return df.select(*[typed(f) for f in schema])
 
 
 def typed_null(data_type: str) -> Column:

@@ -18,13 +18,13 @@ def recommended_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
     """Settings the plans in this package are written for.
 
     AQE merges small partitions at run time, so the partition count is sized for the
-    largest shuffle. Skew joins are split even when that costs a further shuffle.
+    largest shuffle. Hot keys are split by the skew join rule, for which the joins that
+    can meet them are laid out.
     """
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions_for(shuffle_bytes, cores)),
         "spark.sql.session.timeZone": "UTC",
     }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from acctmart.operators.filters import as_of_column, in_month
 from acctmart.operators.groups import above, key_span, latest_per_key
+from acctmart.operators.joins import splittable_join
 from acctmart.operators.lookup import attribute_by_code
 from acctmart.schemas import typed_null
 from acctmart.sources.catalog import Tables
@@ -73,12 +74,13 @@ def month_payments(tables: TableMap, as_of: date | None = None) -> DataFrame:
 
 def latest_invoices_above_minimum(tables: TableMap, as_of: date | None = None) -> DataFrame:
     """Each account's latest invoice among those above its product's billing minimum."""
-    billed = (
-        tables["invoice"]
-        .select("id_fatura", "id_conta", "vl_fatura")
-        .join(tables["account"].select("id_conta", "id_produto"), "id_conta")
+    minimums = (
+        tables["account"]
+        .select("id_conta", "id_produto")
         .join(tables["product"].select("id_produto", "vl_faturamento_minimo"), "id_produto")
     )
+    invoices = tables["invoice"].select("id_fatura", "id_conta", "vl_fatura")
+    billed = splittable_join(invoices, minimums, ["id_conta"])
     qualifying = above(billed, F.col("vl_fatura"), F.col("vl_faturamento_minimo"))
     return latest_per_key(qualifying, "id_conta", "id_fatura")
 
@@ -86,15 +88,11 @@ def latest_invoices_above_minimum(tables: TableMap, as_of: date | None = None) -
 def payments_of_latest_invoice(tables: TableMap, as_of: date | None = None) -> DataFrame:
     """Payments of each account's latest qualifying invoice, matched by invoice id."""
     latest = latest_invoices_above_minimum(tables).select("id_fatura")
-    return (
-        tables["payment"]
-        .join(latest, "id_fatura")
-        .select(
-            "id_fatura",
-            "id_conta",
-            F.col("dt_pagamento").alias("dt_pagamento_ult_fatura"),
-            F.col("vl_pagamento").alias("vlr_pago"),
-        )
+    return splittable_join(tables["payment"], latest, ["id_fatura"]).select(
+        "id_fatura",
+        "id_conta",
+        F.col("dt_pagamento").alias("dt_pagamento_ult_fatura"),
+        F.col("vl_pagamento").alias("vlr_pago"),
     )
 
 
