@@ -44,8 +44,8 @@ def splittable_join(
 def checkpoint_and_size(df: DataFrame, small_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
     """``df`` cut from its lineage, and whether it is small enough to broadcast.
 
-    Counting stops at the limit, and a result above it must be joined by shuffle.
+    A result of more rows must be joined by shuffle.
     """
     ensure_checkpoint_dir(df.sparkSession)
     kept = df.checkpoint()
-    return kept, kept.limit(small_rows + 1).count() <= small_rows
+    return kept, kept.count() <= small_rows

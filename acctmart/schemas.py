@@ -8,85 +8,113 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructField, StructType, TimestampNTZType, TimestampType
-
-MONEY = "decimal(18,2)"
-
-_TABLE_DDL = {
-    "invoice": (
-        "id_fatura bigint, id_processamento bigint, id_conta bigint, id_ciclo int, "
-        "id_fatura_anterior bigint, dt_processamento timestamp, dt_vencimento timestamp, "
-        "fl_ativa string, fl_envia_email string, fl_realiza_impressao string, "
-        "fl_envia_sms_directone string, vl_fatura decimal(18,2), "
-        "vl_pagamento_minimo decimal(18,2), vl_total_pago decimal(18,2), dt_inclusao timestamp"
-    ),
-    "payment": (
-        "id_fatura bigint, id_conta bigint, dt_pagamento timestamp, vl_pagamento decimal(18,2)"
-    ),
-    "account": (
-        "id_conta bigint, nu_cpf_cnpj string, ds_status_conta string, "
-        "nm_origem_comercial string, ds_status_cartao string, "
-        "ds_motivo_bloqueio_cartao string, id_produto int, nm_produto string, "
-        "nu_dias_atraso int"
-    ),
-    "product": "id_produto int, ds_produto string, vl_faturamento_minimo decimal(18,2)",
-    "sale": "id_conta bigint, dt_venda timestamp, fl_status string",
-    "instalment": "id_conta bigint, fl_status string",
-    "latest_invoice": "id_conta bigint, id_fatura bigint",
-    "client": (
-        "id_conta bigint, dt_cadastro string, nu_cpf_cnpj string, fl_status_conta string"
-    ),
-    "form_field": "id_campo bigint, ds_codigo string",
-    "form_answer": "id_campo bigint, id_adesao bigint, vl_resposta string",
-    "enrolment": "id_adesao bigint, id_produto string, ds_status string",
-    "dependent": "id_adesao_titular bigint, id_adesao_dependente bigint",
-    "customer": (
-        "id_conta bigint, nm_cliente string, ds_email string, cd_uf string, "
-        "nm_bairro string, nm_logradouro string, nu_cep string, nu_endereco string, "
-        "nu_cpf_cnpj string, dt_nascimento string, fl_sexo string, nm_cidade string, "
-        "fl_tipo_pessoa string, nu_rg string"
-    ),
-    "registration": "id_conta bigint, dt_cadastro string",
-    "phone": "id_conta bigint, telefone_celular string",
-    "postal_range": (
-        "seqcidade bigint, cepinicial bigint, cepfinal bigint, cidade string, "
-        "codmunicipio bigint"
-    ),
-}
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+LONG, INT, TEXT = LongType(), IntegerType(), StringType()
+DATE, TIMESTAMP = DateType(), TimestampType()
+MONEY, TOTAL = DecimalType(18, 2), DecimalType(28, 2)
+
+
+def _struct(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
+
 
 TABLES: dict[str, StructType] = {
-    name: StructType.fromDDL(ddl) for name, ddl in _TABLE_DDL.items()
+    "invoice": _struct(
+        id_fatura=LONG, id_processamento=LONG, id_conta=LONG, id_ciclo=INT,
+        id_fatura_anterior=LONG, dt_processamento=TIMESTAMP, dt_vencimento=TIMESTAMP,
+        fl_ativa=TEXT, fl_envia_email=TEXT, fl_realiza_impressao=TEXT,
+        fl_envia_sms_directone=TEXT, vl_fatura=MONEY, vl_pagamento_minimo=MONEY,
+        vl_total_pago=MONEY, dt_inclusao=TIMESTAMP,
+    ),
+    "payment": _struct(
+        id_fatura=LONG, id_conta=LONG, dt_pagamento=TIMESTAMP, vl_pagamento=MONEY,
+    ),
+    "account": _struct(
+        id_conta=LONG, nu_cpf_cnpj=TEXT, ds_status_conta=TEXT, nm_origem_comercial=TEXT,
+        ds_status_cartao=TEXT, ds_motivo_bloqueio_cartao=TEXT, id_produto=INT,
+        nm_produto=TEXT, nu_dias_atraso=INT,
+    ),
+    "product": _struct(
+        id_produto=INT, ds_produto=TEXT, vl_faturamento_minimo=MONEY,
+    ),
+    "sale": _struct(
+        id_conta=LONG, dt_venda=TIMESTAMP, fl_status=TEXT,
+    ),
+    "instalment": _struct(
+        id_conta=LONG, fl_status=TEXT,
+    ),
+    "latest_invoice": _struct(
+        id_conta=LONG, id_fatura=LONG,
+    ),
+    "client": _struct(
+        id_conta=LONG, dt_cadastro=TEXT, nu_cpf_cnpj=TEXT, fl_status_conta=TEXT,
+    ),
+    "form_field": _struct(
+        id_campo=LONG, ds_codigo=TEXT,
+    ),
+    "form_answer": _struct(
+        id_campo=LONG, id_adesao=LONG, vl_resposta=TEXT,
+    ),
+    "enrolment": _struct(
+        id_adesao=LONG, id_produto=TEXT, ds_status=TEXT,
+    ),
+    "dependent": _struct(
+        id_adesao_titular=LONG, id_adesao_dependente=LONG,
+    ),
+    "customer": _struct(
+        id_conta=LONG, nm_cliente=TEXT, ds_email=TEXT, cd_uf=TEXT, nm_bairro=TEXT,
+        nm_logradouro=TEXT, nu_cep=TEXT, nu_endereco=TEXT, nu_cpf_cnpj=TEXT,
+        dt_nascimento=TEXT, fl_sexo=TEXT, nm_cidade=TEXT, fl_tipo_pessoa=TEXT, nu_rg=TEXT,
+    ),
+    "registration": _struct(
+        id_conta=LONG, dt_cadastro=TEXT,
+    ),
+    "phone": _struct(
+        id_conta=LONG, telefone_celular=TEXT,
+    ),
+    "postal_range": _struct(
+        seqcidade=LONG, cepinicial=LONG, cepfinal=LONG, cidade=TEXT, codmunicipio=LONG,
+    ),
 }
 
 # Names, order and types of the published tables.
-ACCOUNT_MART = StructType.fromDDL(
-    "id_pessoa string, tx_status_cartao string, tx_motivo_bloqueio string, "
-    "fl_possui_seguros int, fl_possui_odonto int, fl_possui_parcelamento_fatura int, "
-    "fl_possui_fatura_garantida int, dt_ultima_compra timestamp, "
-    "dt_primeira_compra timestamp, dt_cadastro date, qtd_dias_atraso int, "
-    "tx_loja_origem string, vlr_fatura decimal(18,2), vlr_pago decimal(28,2), "
-    "tx_status_conta string, id_produto int, tx_descricao_produto string, "
-    "id_conta bigint, dt_vencimento_fatura date, fl_servico_sms int, "
-    "fl_fatura_ativa_mes int, dt_pagamento_ult_fatura date"
+ACCOUNT_MART = _struct(
+    id_pessoa=TEXT, tx_status_cartao=TEXT, tx_motivo_bloqueio=TEXT,
+    fl_possui_seguros=INT, fl_possui_odonto=INT, fl_possui_parcelamento_fatura=INT,
+    fl_possui_fatura_garantida=INT, dt_ultima_compra=TIMESTAMP,
+    dt_primeira_compra=TIMESTAMP, dt_cadastro=DATE, qtd_dias_atraso=INT,
+    tx_loja_origem=TEXT, vlr_fatura=MONEY, vlr_pago=TOTAL, tx_status_conta=TEXT,
+    id_produto=INT, tx_descricao_produto=TEXT, id_conta=LONG,
+    dt_vencimento_fatura=DATE, fl_servico_sms=INT, fl_fatura_ativa_mes=INT,
+    dt_pagamento_ult_fatura=DATE,
 )
 
-BILLED_MART = StructType.fromDDL(
-    "id_fatura bigint, id_conta bigint, dt_vencto date, vl_fatura decimal(18,2), "
-    "total_pago decimal(28,2), dt_ult_pagto date, qtddiasatraso int, fl_ativa string, "
-    "fl_envia_sms_directone int, fl_possui_parcelamento_fatura int, "
-    "flgPossuiSeguros int, flgPossuiOdonto int, fl_status_conta string, "
-    "flgPossuiFaturaGarantida int, id_pessoa string"
+BILLED_MART = _struct(
+    id_fatura=LONG, id_conta=LONG, dt_vencto=DATE, vl_fatura=MONEY, total_pago=TOTAL,
+    dt_ult_pagto=DATE, qtddiasatraso=INT, fl_ativa=TEXT, fl_envia_sms_directone=INT,
+    fl_possui_parcelamento_fatura=INT, flgPossuiSeguros=INT, flgPossuiOdonto=INT,
+    fl_status_conta=TEXT, flgPossuiFaturaGarantida=INT, id_pessoa=TEXT,
 )
 
-CUSTOMER_QUEUE = StructType.fromDDL(
-    "id_pessoa_fila bigint, edi_source string, nomerazao string, fantasia string, "
-    "email string, palavrachave string, pais string, uf string, bairro string, "
-    "logradouro string, cep string, nrologradouro string, cpf_cnpj string, "
-    "digcgccpf bigint, dtanascfund date, origem string, usuinclusao string, "
-    "sexo string, cidade string, fisicajuridica string, inscricaorg string, "
-    "data_selecao date, tipo_integracao string, status_integracao string, "
-    "dtainclusao date, nrocgccpf bigint, foneddd1 string, fonenro1 string, "
-    "foneddd2 string, fonenro2 string"
+CUSTOMER_QUEUE = _struct(
+    id_pessoa_fila=LONG, edi_source=TEXT, nomerazao=TEXT, fantasia=TEXT, email=TEXT,
+    palavrachave=TEXT, pais=TEXT, uf=TEXT, bairro=TEXT, logradouro=TEXT, cep=TEXT,
+    nrologradouro=TEXT, cpf_cnpj=TEXT, digcgccpf=LONG, dtanascfund=DATE, origem=TEXT,
+    usuinclusao=TEXT, sexo=TEXT, cidade=TEXT, fisicajuridica=TEXT, inscricaorg=TEXT,
+    data_selecao=DATE, tipo_integracao=TEXT, status_integracao=TEXT, dtainclusao=DATE,
+    nrocgccpf=LONG, foneddd1=TEXT, fonenro1=TEXT, foneddd2=TEXT, fonenro2=TEXT,
 )
 
 
