@@ -74,23 +74,16 @@ def assign_dense_ids(
     return numbered.select(*kept, new_id)
 
 
-def _expand_copies(df: DataFrame, first: Column, copies: Column, out: str, block: int) -> DataFrame:
-    """``copies`` rows per row, numbered from ``first``, generated in spread-out blocks."""
-    blocks = df.select(
-        "*",
-        first.alias("_first"),
-        copies.alias("_copies"),
-        F.explode(
-            F.sequence(F.lit(0), ((copies - 1) / block).cast("bigint"))
-        ).alias("_block"),
+def _expand_copies(df: DataFrame, block: int) -> DataFrame:
+    """``_copies`` rows per row, ranked from ``_first`` on, made in spread-out blocks."""
+    blocks = df.withColumn(
+        "_block", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {block})"))
+    ).repartition("_first", "_block")
+    copy = F.expr(
+        f"sequence(_block * {block}, least((_block + 1) * {block}, _copies) - 1)"
     )
-    low = F.col("_block") * block
-    high = F.least(low + block, F.col("_copies")) - 1
-    return (
-        blocks.repartition("_first", "_block")
-        .withColumn("_copy", F.explode(F.sequence(low, high)))
-        .withColumn(out, F.col("_first") + F.col("_copy"))
-        .drop("_first", "_copies", "_block", "_copy")
+    return blocks.withColumn("_copy", F.explode(copy)).withColumn(
+        "_rank", F.col("_first") + F.col("_copy")
     )
 
 
@@ -116,11 +109,9 @@ def _rank_hot(df: DataFrame, key: str, value: str, out: str, block: int) -> Data
         key,
         value,
         "_copies",
-        (F.col("_position") - F.col("_start") + 1).alias("_first_rank"),
-    )
-    return _expand_copies(ranked, F.col("_first_rank"), F.col("_copies"), out, block).select(
-        key, value, out
+        (F.col("_position") - F.col("_start") + 1).alias("_first"),
     )
+    return _expand_copies(ranked, block).select(key, value, F.col("_rank").alias(out))
 
 
 def rank_in_group(
