@@ -126,18 +126,20 @@ _VIEWS = {
         FROM payment p JOIN latest_above v ON p.id_fatura = v.id_fatura""",
     "total": """
         SELECT DISTINCT id_fatura, id_conta,
-               sum(vl_pagamento) OVER (PARTITION BY id_fatura) AS vl_pagamento,
+               CASE WHEN id_fatura IS NOT NULL THEN
+                   coalesce(sum(vl_pagamento) OVER (PARTITION BY id_fatura), 0) END
+                   AS vl_pagamento,
                max(dt_pagamento) OVER (PARTITION BY id_fatura) AS dt_pagamento
         FROM payment""",
     "month_total": """
         SELECT DISTINCT id_fatura, id_conta,
-               sum(vlr_pago) OVER (PARTITION BY id_fatura) AS vlr_pago,
+               coalesce(sum(vlr_pago) OVER (PARTITION BY id_fatura), 0) AS vlr_pago,
                max(dt_pagamento_ult_fatura) OVER (PARTITION BY id_fatura)
                    AS dt_pagamento_ult_fatura
         FROM month_payment""",
     "latest_total": """
         SELECT DISTINCT id_fatura, id_conta,
-               sum(vlr_pago) OVER (PARTITION BY id_fatura) AS total_pago,
+               coalesce(sum(vlr_pago) OVER (PARTITION BY id_fatura), 0) AS total_pago,
                max(dt_pagamento_ult_fatura) OVER (PARTITION BY id_fatura) AS dt_ultimo_pagto
         FROM latest_payment""",
     "ranked": """
