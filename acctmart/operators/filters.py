@@ -69,6 +69,15 @@ HISTORY_RANGES = [
 ]
 
 
+def overlapping(ranges: Sequence[IdRange]) -> tuple[IdRange, IdRange] | None:
+    """Two neighbouring ranges that share an id, if there are any."""
+    ordered = sorted(ranges, key=lambda r: r.first)
+    for left, right in zip(ordered, ordered[1:]):
+        if left.last is None or left.last >= right.first:
+            return left, right
+    return None
+
+
 def split_by_range(
     df: DataFrame, id_name: str, ranges: Sequence[IdRange], out: str = "chunk"
 ) -> DataFrame:
@@ -78,14 +87,14 @@ def split_by_range(
     no range is left out, as it would be by reading the ranges one after another.
     """
     id_column = F.col(id_name)
-    numbers = F.array_compact(
-        F.array(*[F.when(r.holds(id_column), F.lit(r.number)) for r in ranges])
-    )
-    lowest = min(r.first for r in ranges)
-    in_any = id_column >= lowest
+    numbers = [F.when(r.holds(id_column), F.lit(r.number)) for r in ranges]
+    in_any = id_column >= min(r.first for r in ranges)
     if all(r.last is not None for r in ranges):
         in_any = in_any & (id_column <= max(r.last for r in ranges))
-    return df.where(in_any).withColumn(out, F.explode(numbers))
+    kept = df.where(in_any)
+    if overlapping(ranges):
+        return kept.withColumn(out, F.explode(F.array_compact(F.array(*numbers))))
+    return kept.withColumn(out, F.coalesce(*numbers)).where(F.col(out).isNotNull())
 
 
 def jdbc_predicates(id_name: str, ranges: Sequence[IdRange]) -> list[str]:

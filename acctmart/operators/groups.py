@@ -23,21 +23,30 @@ def key_totals(
 ) -> DataFrame:
     """Distinct (key, member) pairs with the key's summed amount and latest day.
 
-    The totals belong to ``key`` alone, whatever the member. They are aggregated first and
-    joined back to the pairs: a window over ``key`` would hold one key's rows in one
+    The totals belong to ``key`` alone, whatever the member. They are aggregated from the
+    pairs and joined back to them: a window over ``key`` would hold one key's rows in one
     task, while an aggregate combines map-side and a join can split a hot key. A key
     whose amounts are all null totals 0; a null key has null totals.
     """
-    totals = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.coalesce(F.sum(amount), F.lit(0)).alias(amount),
-            F.max(day).alias(day),
-        )
+    keyed = F.col(key).isNotNull()
+    pairs = (
+        df.where(keyed)
+        .groupBy(key, member)
+        .agg(F.sum(amount).alias("_own_amount"), F.max(day).alias("_own_day"))
+    )
+    totals = pairs.groupBy(key).agg(
+        F.sum("_own_amount").alias("_amount"), F.max("_own_day").alias("_day")
+    )
+    # Every pair finds its totals. Naming the pair's own values as well keeps them in both
+    # inputs of the join, so that one scan and one shuffle of the pairs serve the two.
+    of_keys = splittable_join(pairs, totals, [key]).select(
+        key,
+        member,
+        F.coalesce("_amount", "_own_amount", F.lit(0)).alias(amount),
+        F.coalesce("_day", "_own_day").alias(day),
     )
-    pairs = df.select(key, member).distinct()
-    return splittable_join(pairs, totals, [key], "left")
+    of_no_key = df.where(~keyed).select(key, member).distinct()
+    return of_keys.unionByName(of_no_key, allowMissingColumns=True)
 
 
 def top_two(df: DataFrame, key: str, value: str, first: str, second: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -23,6 +23,7 @@ from acctmart.operators.groups import top_two
 from acctmart.operators.joins import SMALL_ROWS, checkpoint_and_size, splittable_join
 from acctmart.operators.positions import assign_dense_ids
 from acctmart.schemas import CUSTOMER_QUEUE, conform
+from acctmart.sinks import only_new
 from acctmart.sources.extracts import CUSTOMER_QUEUE_EXTRACTS, TableMap
 
 # Days looked back, and the widths of the target's text columns.
@@ -66,9 +67,13 @@ def new_customers(
 
 
 def clean_customers(customers: DataFrame, mode: str = STRICT) -> DataFrame:
-    """Dates, tax id, texts and phones in the target's form."""
+    """Dates, tax id, texts and phones in the target's form.
+
+    The registration text stays as ``_registered``, to order by.
+    """
     cleaned = customers.withColumns(
         {
+            "_registered": F.col("dtainclusao"),
             "dtainclusao": F.col("_day"),
             "dtanascfund": parse_date(F.col("dtanascfund"), mode),
             "digcgccpf": check_digits(F.col("cpf_cnpj"), mode),
@@ -79,7 +84,7 @@ def clean_customers(customers: DataFrame, mode: str = STRICT) -> DataFrame:
             "fonenro2": local_number(F.col("fone_celular_2")),
         }
     )
-    return truncate_columns(cleaned, TEXT_WIDTHS)
+    return truncate_columns(cleaned, TEXT_WIDTHS).drop("_day", "fone_celular_1", "fone_celular_2")
 
 
 def customer_queue(
@@ -87,15 +92,19 @@ def customer_queue(
     as_of: date | None,
     start_id: int,
     mode: str = STRICT,
+    already_queued: DataFrame | None = None,
+    keys: Sequence[str] = ("cpf_cnpj", "dtainclusao"),
 ) -> DataFrame:
-    """The 30-column queue; ids run from ``start_id`` by account and registration text."""
-    numbered = assign_dense_ids(
-        new_customers(extracts, as_of, mode),
-        [F.asc("id_conta"), F.asc("dtainclusao")],
-        start_id,
-        "id_pessoa_fila",
-    )
-    return conform(clean_customers(numbered, mode), CUSTOMER_QUEUE)
+    """The 30-column queue; ids run from ``start_id`` by account and registration text.
+
+    The look-back lets consecutive runs queue a customer again. Given the rows already
+    queued, those whose ``keys`` are among them are left out before ids are given.
+    """
+    cleaned = clean_customers(new_customers(extracts, as_of, mode), mode)
+    if already_queued is not None:
+        cleaned = only_new(cleaned, already_queued, keys)
+    order = [F.asc("id_conta"), F.asc("_registered")]
+    return conform(assign_dense_ids(cleaned, order, start_id, "id_pessoa_fila"), CUSTOMER_QUEUE)
 
 
 def customer_queue_from_tables(

@@ -145,7 +145,8 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
             column = column.cast(want.dataType)
         return column.alias(want.name)
 
-    return df.select(*[typed(f) for f in schema])
+    columns = [typed(f) for f in schema]
+    return df if columns == df.columns else df.select(*columns)
 
 
 def typed_null(data_type: str) -> Column:

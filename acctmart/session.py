@@ -27,6 +27,8 @@ def recommended_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions_for(shuffle_bytes, cores)),
         "spark.sql.session.timeZone": "UTC",
+        "spark.checkpoint.compress": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 

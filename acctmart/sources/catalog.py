@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctmart.operators.filters import IdRange, jdbc_predicates
+from acctmart.operators.filters import IdRange, jdbc_predicates, overlapping
 from acctmart.schemas import TABLES, conform
 
 _SUFFIX = ".parquet"
@@ -108,9 +108,8 @@ def read_database_table(
         return lower_case(spark.read.jdbc(url, table, properties=options))
     if id_name is None:
         raise ValueError("ranges need the id column's name")
-    ordered = sorted(ranges, key=lambda r: r.first)
-    for left, right in zip(ordered, ordered[1:]):
-        if left.last is None or left.last >= right.first:
-            raise ValueError(f"ranges {left.number} and {right.number} overlap")
-    predicates = jdbc_predicates(id_name, ordered)
+    shared = overlapping(ranges)
+    if shared:
+        raise ValueError(f"ranges {shared[0].number} and {shared[1].number} overlap")
+    predicates = jdbc_predicates(id_name, ranges)
     return lower_case(spark.read.jdbc(url, table, predicates=predicates, properties=options))
