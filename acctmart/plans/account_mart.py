@@ -15,15 +15,30 @@ from acctmart.schemas import ACCOUNT_MART, conform
 from acctmart.sources.extracts import ACCOUNT_MART_EXTRACTS, TableMap
 
 
+def with_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
+    """Invoices left-joined with the payment totals of their id and account.
+
+    Null accounts match each other here, which the marts' account join undoes. A plain
+    comparison would have the optimizer drop them from the pairs but not from the totals,
+    and so read the payments once for each.
+    """
+    paid = key_totals(
+        payments, "id_fatura", "id_conta", "vlr_pago", "dt_pagamento_ult_fatura"
+    ).withColumnsRenamed({"id_fatura": "_paid_fatura", "id_conta": "_paid_conta"})
+    same = (F.col("id_fatura") == F.col("_paid_fatura")) & F.col("id_conta").eqNullSafe(
+        F.col("_paid_conta")
+    )
+    return invoices.join(paid, same, "left").drop("_paid_fatura", "_paid_conta")
+
+
 def invoice_lines(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     """Distinct invoice facts per account, without the invoice id.
 
     The distinct is taken here, on the narrow rows and over all columns, so that one
     account's many invoices spread out and the wide result needs no distinct of its own.
     """
-    paid = key_totals(payments, "id_fatura", "id_conta", "vlr_pago", "dt_pagamento_ult_fatura")
     return (
-        invoices.join(paid, ["id_fatura", "id_conta"], "left")
+        with_payments(invoices, payments)
         .select(
             "id_conta",
             F.to_date("dt_vencimento_fatura").alias("dt_vencimento_fatura"),

@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 
 from acctmart.functions.clean import person_hash, yes_no
 from acctmart.operators.flags import coverage, with_exists_flag, with_flags
-from acctmart.operators.groups import above, key_totals
+from acctmart.operators.groups import above
+from acctmart.operators.joins import splittable_join
+from acctmart.plans.account_mart import with_payments
 from acctmart.schemas import BILLED_MART, conform
 from acctmart.sources.extracts import BILLED_MART_EXTRACTS, TableMap
 
 
 def billed_lines(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     """Distinct invoices with their payment totals."""
-    paid = key_totals(payments, "id_fatura", "id_conta", "vlr_pago", "dt_pagamento_ult_fatura")
     return (
-        invoices.join(paid, ["id_fatura", "id_conta"], "left")
+        with_payments(invoices, payments)
         .select(
             "id_fatura",
             "id_conta",
@@ -43,15 +44,11 @@ def billed_profiles(extracts: Mapping[str, DataFrame]) -> DataFrame:
     minimums = extracts["products"].groupBy("id_produto").agg(
         F.min("vl_faturamento_minimo").alias("vl_faturamento_minimo")
     )
+    accounts = extracts["accounts"].select(
+        "id_conta", "id_produto", "nu_cpf_cnpj", F.col("qtd_dias_atraso").alias("qtddiasatraso")
+    )
     profiles = (
-        extracts["accounts"]
-        .select(
-            "id_conta",
-            "id_produto",
-            "nu_cpf_cnpj",
-            F.col("qtd_dias_atraso").alias("qtddiasatraso"),
-        )
-        .join(minimums, "id_produto")
+        splittable_join(accounts, minimums, ["id_produto"])
         .groupBy("id_conta", "nu_cpf_cnpj", "qtddiasatraso")
         .agg(F.min("vl_faturamento_minimo").alias("vl_faturamento_minimo"))
         .join(extracts["client_statuses"].distinct(), ["id_conta", "nu_cpf_cnpj"], "left")

@@ -146,7 +146,8 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         return column.alias(want.name)
 
     columns = [typed(f) for f in schema]
-    return df if columns == df.columns else df.select(*columns)
+    as_is = all(isinstance(c, str) for c in columns) and columns == df.columns
+    return df if as_is else df.select(*columns)
 
 
 def typed_null(data_type: str) -> Column:
