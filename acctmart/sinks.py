@@ -94,6 +94,11 @@ def with_row_count(df: DataFrame, counted: Observation) -> DataFrame:
     return df.observe(counted, F.count(F.lit(1)).alias("rows"))
 
 
+def preview(df: DataFrame, rows: int = 10) -> None:
+    """Print the first rows."""
+    df.show(rows, truncate=False)
+
+
 def with_reject_count(df: DataFrame, counted: Observation, rejected: Column) -> DataFrame:
     """``df`` that also reports how many rows meet ``rejected``."""
     return df.observe(

@@ -164,6 +164,49 @@ def test_database_reads_refuse_overlapping_ranges(spark):
         catalog.read_database_table(spark, "jdbc:x", "t", ranges=id_ranges(0, 5, 2))
 
 
+class FakeSession:
+    """Stands in for a session with a database driver; records what is asked of it."""
+
+    def __init__(self, result):
+        self.result, self.asked = result, {}
+        self.read = self
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **values):
+        self.asked["options"] = values
+        return self
+
+    def load(self):
+        return self.result
+
+    def jdbc(self, url, table, **values):
+        self.asked["jdbc"] = (url, table, values)
+        return self.result
+
+
+def test_database_queries_and_tables(spark):
+    fake = FakeSession(spark.sql("SELECT 1 AS SeqCidade"))
+    got = catalog.query_database(fake, "jdbc:x", "select 1", {"user": "u"})
+    assert got.columns == ["seqcidade"]
+    assert fake.asked == {
+        "format": "jdbc", "options": {"url": "jdbc:x", "query": "select 1", "user": "u"},
+    }
+    assert catalog.read_database_table(fake, "jdbc:x", "towns@link").columns == ["seqcidade"]
+    assert fake.asked["jdbc"] == ("jdbc:x", "towns@link", {"properties": {}})
+    catalog.read_database_table(
+        fake, "jdbc:x", "t", id_name="i", ranges=id_ranges(0, 5, 2)
+    )
+    assert fake.asked["jdbc"][2]["predicates"] == ["i >= 0 AND i <= 4", "i >= 5"]
+
+
+def test_preview_prints_rows(spark, capsys):
+    sinks.preview(spark.range(100), 2)
+    assert "only showing top 2 rows" in capsys.readouterr().out
+
+
 def test_scans_read_only_the_columns_of_the_query(spark, tmp_path):
     spark.createDataFrame([], TABLES["invoice"]).write.parquet(str(tmp_path / "invoice.parquet"))
     tables = catalog.load_parquet(spark, str(tmp_path), ["invoice"])
