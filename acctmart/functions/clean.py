@@ -19,25 +19,46 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be {STRICT!r} or {LENIENT!r}, not {mode!r}")
 
 
-def _or_fail(parsed: Column, text: Column, message: str, mode: str) -> Column:
-    """``parsed``; in strict mode, text that gave no value ends the job."""
+def _parsed_date(text: Column) -> Column:
+    return F.try_to_date(text, _DATE_PATTERN)
+
+
+def _parsed_number(text: Column) -> Column:
+    return text.try_cast("bigint")
+
+
+def bad_date(text: Column) -> Column:
+    """True where there is text that is not a date, empty text included."""
+    return text.isNotNull() & _parsed_date(text).isNull()
+
+
+def bad_number(text: Column) -> Column:
+    """True where there is text, other than empty, that is not a whole number."""
+    return text.isNotNull() & (text != "") & _parsed_number(text).isNull()
+
+
+def _or_fail(parsed: Column, bad: Column, text: Column, message: str, mode: str) -> Column:
+    """``parsed``; in strict mode, a bad text ends the job."""
     if mode == LENIENT:
         return parsed
-    rejected = text.isNotNull() & parsed.isNull()
     failure = F.raise_error(F.concat(F.lit(message + ": "), text))
-    return F.when(rejected, failure).otherwise(parsed)
+    return F.when(bad, failure).otherwise(parsed)
 
 
 def parse_date(text: Column, mode: str = STRICT) -> Column:
     """Date from the whole text. Bad text fails (strict) or gives null (lenient)."""
     _check_mode(mode)
-    parsed = F.try_to_date(text, _DATE_PATTERN)
-    return _or_fail(parsed, text, "not a date", mode)
+    return _or_fail(_parsed_date(text), bad_date(text), text, "not a date", mode)
+
+
+def date_prefix(text: Column) -> Column:
+    """The first ten characters, where a text with a time has its date."""
+    return F.substring(text, 1, 10)
 
 
 def parse_date_prefix(text: Column, mode: str = STRICT) -> Column:
     """Date from the first ten characters, for text that also carries a time."""
-    return parse_date(F.substring(text, 1, 10), mode)
+    return parse_date(date_prefix(text), mode)
 
 
 def truncate(text: Column, length: int) -> Column:
@@ -53,19 +74,27 @@ def truncate_columns(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
 def text_to_long(text: Column, mode: str = STRICT) -> Column:
     """Whole number from text. Empty text is null in both modes."""
     _check_mode(mode)
-    filled = F.nullif(text, F.lit(""))
-    return _or_fail(filled.try_cast("bigint"), filled, "not a number", mode)
+    return _or_fail(_parsed_number(text), bad_number(text), text, "not a number", mode)
+
+
+def last_two(text: Column) -> Column:
+    """The last two characters, or all of a shorter text."""
+    return F.right(text, F.lit(2))
+
+
+def all_but_last_two(text: Column) -> Column:
+    """The text without its last two characters; empty if there are no more."""
+    return F.left(text, F.greatest(F.length(text) - 2, F.lit(0)))
 
 
 def check_digits(tax_id: Column, mode: str = STRICT) -> Column:
     """Number made of the last two characters."""
-    return text_to_long(F.right(tax_id, F.lit(2)), mode)
+    return text_to_long(last_two(tax_id), mode)
 
 
 def tax_id_root(tax_id: Column, mode: str = STRICT) -> Column:
     """Number made of all but the last two characters."""
-    kept = F.greatest(F.length(tax_id) - 2, F.lit(0))
-    return text_to_long(F.left(tax_id, kept), mode)
+    return text_to_long(all_but_last_two(tax_id), mode)
 
 
 def _full_phone(phone: Column, part: Column) -> Column:

@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 
 from acctmart.functions.clean import (
     STRICT,
+    all_but_last_two,
     area_code,
+    bad_date,
+    bad_number,
     check_digits,
+    date_prefix,
+    last_two,
     local_number,
     parse_date,
     parse_date_prefix,
@@ -87,6 +92,27 @@ def clean_customers(customers: DataFrame, mode: str = STRICT) -> DataFrame:
     return truncate_columns(cleaned, TEXT_WIDTHS).drop("_day", "fone_celular_1", "fone_celular_2")
 
 
+def rejected_registrations(registrations: DataFrame) -> DataFrame:
+    """Registrations whose text has no date; lenient mode does not queue them."""
+    return registrations.where(bad_date(date_prefix(F.col("dtainclusao"))))
+
+
+def rejected_values(customers: DataFrame) -> DataFrame:
+    """Uncleaned customers with a value that lenient mode turns into null.
+
+    ``rejected`` lists the target columns concerned.
+    """
+    tax_id = F.col("cpf_cnpj")
+    bad = {
+        "dtanascfund": bad_date(F.col("dtanascfund")),
+        "digcgccpf": bad_number(last_two(tax_id)),
+        "nrocgccpf": bad_number(all_but_last_two(tax_id)),
+    }
+    names = [F.when(condition, F.lit(name)) for name, condition in bad.items()]
+    listed = customers.withColumn("rejected", F.array_compact(F.array(*names)))
+    return listed.where(F.size("rejected") > 0)
+
+
 def customer_queue(
     extracts: Mapping[str, DataFrame],
     as_of: date | None,

@@ -104,6 +104,12 @@ def test_lenient_queue_keeps_rows_with_bad_values(spark):
     got = rows(queue.select("id_pessoa_fila", "digcgccpf", "nrocgccpf", "dtanascfund", "foneddd1"))
     assert got == [(1, 1, None, None, ""), (2, None, None, None, "11")]
 
+    extracts_ = customer_queue.CUSTOMER_QUEUE_EXTRACTS.run(tables, QUEUE_DAY)
+    rejected = customer_queue.rejected_registrations(extracts_["registrations"])
+    assert rows(rejected) == [("yesterday", 1)]
+    found = customer_queue.rejected_values(extracts_["customers"])
+    assert rows(found.select("id_conta", "rejected")) == [(1, ["dtanascfund", "nrocgccpf"])]
+
 
 def test_two_registrations_on_one_day_both_stay(spark):
     tables = {
