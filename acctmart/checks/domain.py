@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctmart.operators.joins import splittable_join
-from acctmart.schemas import TABLES, conform
 from acctmart.sources.catalog import Tables
 
 # Declared, so that opening a table runs no job to find its columns.
@@ -185,6 +184,4 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> Tables:
         product, account, invoice, payment, sale, instalment, client, form_field,
         form_answer, enrolment, dependent, customer, registration, phone, postal_range,
     ]
-    return Tables(
-        {b.__name__: lambda b=b: conform(b(), TABLES[b.__name__]) for b in builders}
-    )
+    return Tables({b.__name__: b for b in builders})

@@ -11,6 +11,7 @@ from acctmart.operators.joins import splittable_join
 
 _STEP = 4  # each level merges 2**4 neighbours of the level below
 _LEVELS = 15
+_LIMIT = 1 << 62  # codes lie strictly between -_LIMIT and _LIMIT
 
 
 def attribute_by_code(
@@ -43,12 +44,16 @@ def attribute_by_code(
 def _blocks(ranges: DataFrame, low: str, high: str, value: str) -> DataFrame:
     """Each closed range as aligned blocks that tile it exactly, least value per block.
 
-    A block is (level, number) and covers 16**level codes. On each level a range yields
-    at most 30 blocks, however wide it is, and afterwards a block is a unique key.
+    A block is (level, number) and covers 16**level codes. On each level but the top one,
+    which ends at 128, a range yields at most 30 blocks, however wide it is. Afterwards a
+    block is a unique key.
     """
-    levels = ranges.select(
-        F.col(low).alias("lo"),
-        (F.col(high) + 1).alias("end"),
+    first = F.greatest(F.col(low).cast("bigint"), F.lit(-_LIMIT))
+    last = F.least(F.col(high).cast("bigint"), F.lit(_LIMIT - 1))
+    bounded = ranges.where(F.col(low).isNotNull() & F.col(high).isNotNull())
+    levels = bounded.select(
+        first.alias("lo"),
+        (last + 1).alias("end"),
         F.col(value).alias("value"),
         F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))).alias("level"),
     )
@@ -64,7 +69,7 @@ def _blocks(ranges: DataFrame, low: str, high: str, value: str) -> DataFrame:
     ).where("a < b")
     fan = 1 << _STEP
     numbers = f"""
-        CASE WHEN up_a >= up_b THEN sequence(a, b - 1)
+        CASE WHEN level = {_LEVELS - 1} OR up_a >= up_b THEN sequence(a, b - 1)
         ELSE concat(
             CASE WHEN a < {fan} * up_a THEN sequence(a, {fan} * up_a - 1)
                  ELSE array() END,
@@ -97,8 +102,11 @@ def range_lookup(
     blocks = _blocks(ranges, low, high, value)
     # At most one number per level.
     used_levels = blocks.agg(F.array_sort(F.collect_set("level"))).scalar()
+    number = F.col(code).cast("bigint")
+    too_large = (number <= -_LIMIT) | (number >= _LIMIT)
+    checked = F.when(too_large, F.raise_error("code beyond 62 bits")).otherwise(number)
     probes = (
-        df.select(F.col(code).cast("bigint").alias("_code"))
+        df.select(checked.alias("_code"))
         .where(F.col("_code").isNotNull())
         .distinct()
         .withColumn("level", F.explode(used_levels))
@@ -109,6 +117,6 @@ def range_lookup(
         .groupBy("_code")
         .agg(F.min("value").alias("_found"))
     )
-    numbered = df.withColumn("_number", F.col(code).cast("bigint"))
+    numbered = df.withColumn("_number", number)
     joined = splittable_join(numbered, found, ["_number"], "left", ["_code"])
     return joined.drop("_number").withColumnRenamed("_found", out)

@@ -41,6 +41,12 @@ def empty_tables(spark):
     return {name: spark.createDataFrame([], schema) for name, schema in schemas.TABLES.items()}
 
 
+def test_domain_tables_have_the_fixed_types(spark):
+    tables = domain_tables(spark, FOLDER)
+    for name in tables:
+        assert kinds(tables[name].schema) == kinds(schemas.TABLES[name])
+
+
 @pytest.mark.parametrize("name", PLANS)
 def test_contract(spark, empty_tables, name):
     build, schema, width = PLANS[name]

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from helpers import final_plan, rows, static_plan
+from pyspark.errors import PySparkException
 
 from acctmart.operators.lookup import _blocks, range_lookup
 
@@ -45,6 +47,18 @@ def test_random_ranges_agree_with_brute_force(spark):
     assert rows(look_up(spark, codes, ranges)) == brute_force(codes, ranges)
 
 
+def test_ranges_open_at_either_end(spark):
+    top, bottom = 2**63 - 1, -(2**63)
+    ranges = [(0, top, 9), (bottom, -5, 8), (2**61, top, 3), (bottom, top, 20)]
+    codes = [0, -1, -5, -6, 2**60, 2**60 - 1, 2**61 - 1, 2**61, 2**62 - 1, 1 - 2**62]
+    assert rows(look_up(spark, codes, ranges)) == brute_force(codes, ranges)
+
+
+def test_codes_out_of_reach_are_refused(spark):
+    with pytest.raises(PySparkException, match="62 bits"):
+        look_up(spark, [2**62], [(0, 5, 1)]).collect()
+
+
 def test_no_ranges_and_no_codes(spark):
     assert rows(look_up(spark, [1, None], [])) == [(0, 1, None), (1, None, None)]
     assert rows(look_up(spark, [], [(1, 2, 3)])) == []
