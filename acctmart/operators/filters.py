@@ -94,7 +94,11 @@ def split_by_range(
     kept = df.where(in_any)
     if overlapping(ranges):
         return kept.withColumn(out, F.explode(F.array_compact(F.array(*numbers))))
-    return kept.withColumn(out, F.coalesce(*numbers)).where(F.col(out).isNotNull())
+    numbered = kept.withColumn(out, F.coalesce(*numbers))
+    ordered = sorted(ranges, key=lambda r: r.first)
+    if all(left.last + 1 == right.first for left, right in zip(ordered, ordered[1:])):
+        return numbered
+    return numbered.where(F.col(out).isNotNull())
 
 
 def jdbc_predicates(id_name: str, ranges: Sequence[IdRange]) -> list[str]:
