@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from acctmart.checks import oracle, registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
@@ -46,3 +47,8 @@ def test_entry_runs(spark):
     result = contract.entry(spark)
     assert len(result.columns) == 22
     assert result.count() > 0
+
+
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
