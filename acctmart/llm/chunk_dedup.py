@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctmart.llm.common import drop_table, slices, write_table
+from acctmart.llm.common import drop_table, keep_rows, slices, write_table
 from acctmart.operators.joins import splittable_join
 
 SMALLEST, LARGEST, MASK = 512, 8192, 2047
@@ -197,14 +197,5 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows are found again by id and text digest. Of rows that agree in both, one stays.
     """
-    kept = exact_groups(docs).where("kept").select("doc_id", "text_sha256")
-    kept = kept.select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("doc_id").isNull().alias("_null"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumns(
-        {
-            "_id": F.coalesce("doc_id", F.lit(-1)),
-            "_null": F.col("doc_id").isNull(),
-            "_sha": F.sha2(F.coalesce("text", F.lit("")), 256),
-        }
-    )
-    found = keyed.dropDuplicates(["_id", "_null", "_sha"]).join(kept, ["_id", "_null", "_sha"], "left_semi")
-    return found.select(*docs.columns)
+    kept = exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("key"))
+    return keep_rows(docs, kept, F.sha2(F.coalesce("text", F.lit("")), 256))

@@ -90,3 +90,20 @@ def sample_texts(
         .collect()
     )
     return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+
+def text_key() -> Column:
+    """A hash of the text which, with doc_id, finds a row again; null counts as empty."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and ``key`` are in ``kept`` (doc_id, key).
+
+    All columns stay. Of rows that agree in both, one stays; null ids count as equal.
+    """
+    names = ["_id", "_no_id", "_key"]
+    ids = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_no_id")]
+    wanted = kept.select(*ids, F.col("key").alias("_key"))
+    single = docs.select("*", *ids, key.alias("_key")).dropDuplicates(names)
+    return single.join(wanted, names, "left_semi").select(*docs.columns)

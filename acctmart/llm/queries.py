@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acctmart.llm import chunk_dedup, id_files, piece_bpe
+from acctmart.llm import (
+    byte_cnn,
+    chunk_dedup,
+    id_files,
+    license_scan,
+    piece_bpe,
+    positional_index,
+    token_groups,
+)
 from acctmart.llm.common import read_table, shared_path
 
 
@@ -28,6 +36,26 @@ def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op5_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_groups.jaccard_components(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = positional_index.contamination(docs, benchmark, shared_path(spark, "index"))
+    return found.drop("text_key")
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return byte_cnn.score_quality(docs, labels)
+
+
 _EXACT_GROUPS = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -40,6 +68,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_id_files": op2_id_files,
         "op3_piece_bpe": op3_piece_bpe,
         "op4_chunk_dedup": op4_chunk_dedup,
+        "op5_token_groups": op5_token_groups,
+        "op6_positional_index": op6_positional_index,
+        "op8_license_scan": op8_license_scan,
+        "op10_byte_cnn": op10_byte_cnn,
     }
 
 
