@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from acctmart.llm import (
     byte_cnn,
     chunk_dedup,
+    clause_grammar,
+    crf_language,
+    html_text,
     id_files,
     license_scan,
     piece_bpe,
@@ -19,6 +22,10 @@ from acctmart.llm import (
 from acctmart.llm.common import read_table, shared_path
 
 
+def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_language.predict_language(read_table(spark, sf_dir, "documents"))
+
+
 def op2_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "ids")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,10 +54,19 @@ def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op9_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return clause_grammar.score_toxicity(docs, labels)
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     return byte_cnn.score_quality(docs, labels)
@@ -65,12 +81,15 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_crf_language": op1_crf_language,
         "op2_id_files": op2_id_files,
         "op3_piece_bpe": op3_piece_bpe,
         "op4_chunk_dedup": op4_chunk_dedup,
         "op5_token_groups": op5_token_groups,
         "op6_positional_index": op6_positional_index,
+        "op7_html_text": op7_html_text,
         "op8_license_scan": op8_license_scan,
+        "op9_clause_grammar": op9_clause_grammar,
         "op10_byte_cnn": op10_byte_cnn,
     }
 

@@ -446,13 +446,13 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
     return labels if more.isEmpty() else components(links.union(more))
 
 
-def one_of_each_component(docs: DataFrame) -> DataFrame:
+def one_of_each_component(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each component, that of the smallest doc_id, with all its columns.
 
     Of several rows with that id the one with the smallest text hash stays. Rows without
     shingles and components of null ids only stay as they are, identical rows being one.
     """
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, width, percent)
     alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
     chosen = found.where(~alone & (F.col("doc_id") == F.col("component_id")))
     kept = chosen.groupBy("doc_id").agg(F.min("key").alias("key")).union(found.where(alone).select("doc_id", "key"))
