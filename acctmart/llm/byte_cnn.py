@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acctmart.llm.common import held_out, sample_texts
+from acctmart.llm.common import free_name, held_out, sample_texts
 
 #: Chunks of this many bytes; neighbours share OVERLAP bytes.
 CHUNK, OVERLAP = 512, 16
@@ -79,7 +79,7 @@ def _pool(peaks: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
             np.minimum.reduceat(peaks, starts),
         ],
         axis=1,
-    ).astype(np.float32)
+    )
 
 
 def _logits(model: dict, pooled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,8 +114,10 @@ def _gradients(model: dict, rows: list[np.ndarray], y: np.ndarray) -> dict[str,
     g |= {"w1": pooled.T @ dh, "b1": dh.sum(0)}
     mean, top, low = np.split(dh @ model["w1"].T, 3, axis=1)
     dp = mean[owner] / counts[owner, None]
-    dp += np.where(peaks == pooled[owner, FILTERS : 2 * FILTERS], top[owner], 0)
-    dp += np.where(peaks == pooled[owner, 2 * FILTERS :], low[owner], 0)
+    for extreme, d_extreme in ((pooled[:, FILTERS : 2 * FILTERS], top), (pooled[:, 2 * FILTERS :], low)):
+        # Chunks that tie for the largest or smallest response share the gradient.
+        tied = (peaks == extreme[owner]).astype(np.float32)
+        dp += tied / np.add.reduceat(tied, starts)[owner] * d_extreme[owner]
     dp *= peaks > 0
     # Only the window of the largest response has a gradient, one for each chunk and filter.
     begin = at * STRIDE
@@ -208,5 +210,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
 def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, with all their columns."""
     model = train_on(docs, labels, "quality")
-    scored = docs.withColumn("_score", score_column(docs, model))
-    return scored.where(F.col("_score") >= threshold).select(*docs.columns)
+    name = free_name(docs, "_score")
+    scored = docs.withColumn(name, score_column(docs, model))
+    return scored.where(F.col(name) >= threshold).select(*docs.columns)

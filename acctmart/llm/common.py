@@ -97,13 +97,25 @@ def text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
     """The rows of ``docs`` whose doc_id and ``key`` are in ``kept`` (doc_id, key).
 
     All columns stay. Of rows that agree in both, one stays; null ids count as equal.
     """
-    names = ["_id", "_no_id", "_key"]
-    ids = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_no_id")]
-    wanted = kept.select(*ids, F.col("key").alias("_key"))
-    single = docs.select("*", *ids, key.alias("_key")).dropDuplicates(names)
+    names = [free_name(docs, n) for n in ("_id", "_no_id", "_key")]
+
+    def keyed(df: DataFrame, *columns: str, key: Column) -> DataFrame:
+        ids = (F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), key)
+        return df.select(*columns, *[c.alias(n) for c, n in zip(ids, names)])
+
+    single = keyed(docs, *docs.columns, key=key).dropDuplicates(names)
+    wanted = keyed(kept, key=F.col("key"))
     return single.join(wanted, names, "left_semi").select(*docs.columns)

@@ -125,7 +125,7 @@ def write_id_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2)
             row = {
                 "part": part,
                 "block": block,
-                "first_doc": ids[0],
+                "first_doc": next((i for i in ids if i is not None), None),
                 "last_doc": ids[-1],
                 "part_start": start,
                 "block_tokens": sum(counts),

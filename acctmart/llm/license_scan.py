@@ -1,7 +1,8 @@
 """Licence notices found through a positional index of the templates' rare words.
 
-The templates' words are counted over all documents. Each template is indexed by its words of
-highest inverse document frequency and their positions. In a file, places of those words vote
+The templates' words are counted over all documents. Each template is indexed by the words of
+its mandatory key phrases that have the highest inverse document frequency, and by their
+positions. In a file, places of those words vote
 for where the template would begin; a begin that enough rare words agree on, within a slack
 of some words, is checked by the template's mandatory key phrases, which must stand word for
 word near their positions. Base phrases are templates that allow no slack, so that all their
@@ -132,12 +133,13 @@ class Compiled:
 
 def compile_template(t: Template, number: dict[bytes, int], idf: np.ndarray, slack: int) -> Compiled:
     words = np.array([number[w] for w in words_of(t.text)], np.int32)
-    order = sorted(range(len(words)), key=lambda i: (-idf[words[i]], i))
     phrases = []
     for phrase in t.key_phrases:
         wanted = np.array([number[w] for w in words_of(phrase)], np.int32)
         places = [i for i in range(len(words) - len(wanted) + 1) if (words[i : i + len(wanted)] == wanted).all()]
         phrases.append((places[0], wanted))
+    mandatory = {at + i for at, phrase in phrases for i in range(len(phrase))}
+    order = sorted(mandatory, key=lambda i: (-idf[words[i]], i))
     return Compiled(t.label, words, order[:RARE_WORDS], phrases, slack)
 
 

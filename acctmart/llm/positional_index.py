@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctmart.llm.common import slices, text_key
+from acctmart.llm.common import free_name, slices, text_key
 
 #: Words of a shard, about; a longer document has a shard of its own.
 SHARD_WORDS = 500_000
@@ -277,7 +277,7 @@ def contamination(
     A word is hit inside any occurrence of a window of an item: ``window`` consecutive words,
     or a shorter item as a whole. A document with a hit is contaminated if at least one in
     ``share`` of its words is hit. Null texts and items have no words; items without words
-    are never found; items of the same id, and null ids, count once. The index is written to
+    are never found; items of the same id count once, and those of a null id only hit words. The index is written to
     ``path``. A benchmark over ``BLOCK_BYTES`` is searched in blocks, whose spans are joined.
     """
     spark = docs.sparkSession
@@ -340,7 +340,8 @@ def _summaries(share: int):
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, path: str) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     found = contamination(docs, benchmark, path).where("contaminated")
-    bad = found.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
-    kept = docs.withColumn("_key", text_key())
-    same = F.col("_key").eqNullSafe(F.col("_bad_key")) & F.col("doc_id").eqNullSafe(F.col("_bad_id"))
-    return kept.join(bad, same, "left_anti").select(*docs.columns)
+    bad_id, bad_key, key = (free_name(docs, n) for n in ("_bad_id", "_bad_key", "_key"))
+    bad = found.select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
+    keyed = docs.withColumn(key, text_key())
+    same = F.col(key).eqNullSafe(F.col(bad_key)) & F.col("doc_id").eqNullSafe(F.col(bad_id))
+    return keyed.join(bad, same, "left_anti").select(*docs.columns)
