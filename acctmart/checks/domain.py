@@ -61,7 +61,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     def invoice() -> DataFrame:
         return read("orders").selectExpr(
-            "o_orderkey AS id_fatura",
+            "nullif(o_orderkey, 5) AS id_fatura",
             "o_orderkey AS id_processamento",
             "o_custkey AS id_conta",
             "dayofmonth(o_orderdate) AS id_ciclo",
@@ -113,7 +113,8 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> Tables:
     def form_field() -> DataFrame:
         return read("region").selectExpr(
             "bigint(r_regionkey) AS id_campo",
-            "if(r_name = 'AFRICA', 'contratante.dadosPessoais.cpf', r_name) AS ds_codigo",
+            "if(r_name IN ('AFRICA', 'AMERICA', 'ASIA'), 'contratante.dadosPessoais.cpf', r_name) "
+            "AS ds_codigo",
         )
 
     def form_answer() -> DataFrame:
@@ -166,7 +167,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     def phone() -> DataFrame:
         return read("events").selectExpr(
-            "user_id AS id_conta",
+            "if(event_id % 50 = 7, NULL, user_id) AS id_conta",
             "string(11 + event_id % 80) || "
             "lpad(string(event_id), if(event_type = 'error', 8, 9), '0') AS telefone_celular",
         )

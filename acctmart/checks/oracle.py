@@ -6,7 +6,8 @@ original places), not in the rearranged form the Spark plans use.
 
 from __future__ import annotations
 
-# Each domain table over the given tables; the same mapping as in domain.py.
+# Each domain table over the given tables; the same mapping as in domain.py. Fixed values:
+# column names, code texts, status and product values are those of the source tables.
 _VIEWS = {
     "product": """
         SELECT n_nationkey AS id_produto, n_name AS ds_produto,
@@ -22,7 +23,8 @@ _VIEWS = {
                c_nationkey + 1 AS nu_dias_atraso
         FROM customer""",
     "invoice": """
-        SELECT o_orderkey AS id_fatura, o_orderkey AS id_processamento, o_custkey AS id_conta,
+        SELECT nullif(o_orderkey, 5) AS id_fatura, o_orderkey AS id_processamento,
+               o_custkey AS id_conta,
                CAST(day(o_orderdate) AS INTEGER) AS id_ciclo,
                o_orderkey - 1 AS id_fatura_anterior,
                o_orderdate AS dt_processamento, o_orderdate AS dt_vencimento,
@@ -59,8 +61,8 @@ _VIEWS = {
         FROM customer WHERE c_acctbal >= 0""",
     "form_field": """
         SELECT r_regionkey AS id_campo,
-               CASE WHEN r_name = 'AFRICA' THEN 'contratante.dadosPessoais.cpf' ELSE r_name END
-                   AS ds_codigo
+               CASE WHEN r_name IN ('AFRICA', 'AMERICA', 'ASIA')
+                   THEN 'contratante.dadosPessoais.cpf' ELSE r_name END AS ds_codigo
         FROM region""",
     "form_answer": """
         SELECT n_regionkey AS id_campo, c_custkey AS id_adesao,
@@ -87,7 +89,7 @@ _VIEWS = {
         SELECT user_id AS id_conta, strftime(ts, '%Y-%m-%d %H:%M:%S') AS dt_cadastro
         FROM events WHERE event_type = 'signup'""",
     "phone": """
-        SELECT user_id AS id_conta,
+        SELECT CASE WHEN event_id % 50 <> 7 THEN user_id END AS id_conta,
                CAST(11 + event_id % 80 AS VARCHAR) || lpad(CAST(event_id AS VARCHAR),
                    CASE WHEN event_type = 'error' THEN 8 ELSE 9 END, '0') AS fone_celular
         FROM events""",
@@ -104,22 +106,29 @@ _VIEWS = {
                vl_pagamento AS vlr_pago
         FROM payment WHERE year(dt_pagamento) = 1998 AND month(dt_pagamento) = 10""",
     "insured": """
-        SELECT vl_resposta AS cpf, CAST(e.id_produto AS INTEGER) AS id_produto
-        FROM form_field f, form_answer a, enrolment e
-        WHERE f.ds_codigo = 'contratante.dadosPessoais.cpf' AND f.id_campo = a.id_campo
-          AND a.id_adesao = e.id_adesao
-          AND e.ds_status IN ('ATIVA', 'PENDENTE_CONFIRMACAO_PROVEDOR', 'INCONSISTENTE')
-          AND e.id_produto IN ('1', '2', '3', '4', '5')""",
+        SELECT owner.cpf, counted.id_produto
+        FROM (SELECT id_adesao, CAST(id_produto AS INTEGER) AS id_produto
+              FROM enrolment
+              WHERE id_produto BETWEEN '1' AND '5' AND length(id_produto) = 1
+                AND ds_status IN ('INCONSISTENTE', 'PENDENTE_CONFIRMACAO_PROVEDOR', 'ATIVA')
+             ) AS counted
+        INNER JOIN (
+              SELECT id_adesao, vl_resposta AS cpf
+              FROM form_answer INNER JOIN form_field USING (id_campo)
+              WHERE ds_codigo = 'contratante.dadosPessoais.cpf'
+             ) AS owner USING (id_adesao)""",
     "span": """
         SELECT id_conta, max(dt_venda) AS dt_ultima_compra, min(dt_venda) AS dt_primeira_compra
         FROM sale WHERE fl_status = 'A' GROUP BY id_conta""",
     "active_instalment": """
         SELECT DISTINCT id_conta, fl_status FROM instalment WHERE fl_status = 'A'""",
     "latest_above": """
-        SELECT i.id_conta, max(i.id_fatura) AS id_fatura
-        FROM invoice i JOIN account c ON c.id_conta = i.id_conta
-             JOIN product p ON p.id_produto = c.id_produto
-        WHERE i.vl_fatura > p.vl_faturamento_minimo GROUP BY i.id_conta""",
+        WITH qualified AS (
+            SELECT id_conta, id_fatura
+            FROM invoice INNER JOIN account USING (id_conta)
+                 INNER JOIN product USING (id_produto)
+            WHERE vl_fatura - vl_faturamento_minimo > 0)
+        SELECT id_conta, max(id_fatura) AS id_fatura FROM qualified GROUP BY id_conta""",
     "latest_payment": """
         SELECT p.id_fatura, p.id_conta, p.dt_pagamento AS dt_pagamento_ult_fatura,
                p.vl_pagamento AS vlr_pago
@@ -143,8 +152,8 @@ _VIEWS = {
                max(dt_pagamento_ult_fatura) OVER (PARTITION BY id_fatura) AS dt_ultimo_pagto
         FROM latest_payment""",
     "ranked": """
-        SELECT id_conta, fone_celular, row_number() OVER (
-                   PARTITION BY id_conta ORDER BY fone_celular DESC NULLS LAST) AS "rank"
+        SELECT id_conta, fone_celular, CASE WHEN id_conta IS NOT NULL THEN row_number() OVER (
+                   PARTITION BY id_conta ORDER BY fone_celular DESC NULLS LAST) END AS "rank"
         FROM phone""",
     "two_phone": """
         SELECT a.id_conta, a.fone_celular AS fone_celular_1, b.fone_celular AS fone_celular_2
@@ -274,7 +283,7 @@ _QUERIES = {
         FROM invoice""",
     "dense_ids": """
         SELECT id_fatura, dt_vencimento,
-               999 + row_number() OVER (ORDER BY dt_vencimento, id_fatura) AS id_fila
+               999 + row_number() OVER (ORDER BY dt_vencimento, id_fatura NULLS FIRST) AS id_fila
         FROM invoice""",
     "postal_ranges": "SELECT seqcidade, cepinicial, cepfinal, cidade FROM postal",
     "postal_lookup": """
@@ -293,16 +302,40 @@ _QUERIES = {
                CAST(vl_fatura AS DOUBLE) AS vl_fatura,
                CAST(vl_pagamento_minimo AS DOUBLE) AS vl_pagamento_minimo,
                CAST(vl_total_pago AS DOUBLE) AS vl_total_pago, dt_inclusao,
-               CAST(least(id_fatura // 2000 + 1, 10) AS INTEGER) AS chunk
+               CASE WHEN id_fatura IS NULL THEN 1
+                    ELSE CAST(least(id_fatura // 2000 + 1, 10) AS INTEGER) END AS chunk
         FROM invoice""",
     "chunk_overlap_union": """
         SELECT id_fatura, id_conta, dt_vencimento, fl_ativa,
                CAST(vl_fatura AS DOUBLE) AS vl_fatura
-        FROM invoice WHERE id_fatura BETWEEN 0 AND 2001
+        FROM invoice WHERE id_fatura <= 2001 OR id_fatura IS NULL
         UNION ALL
         SELECT id_fatura, id_conta, dt_vencimento, fl_ativa,
                CAST(vl_fatura AS DOUBLE) AS vl_fatura
         FROM invoice WHERE id_fatura >= 2000""",
+    "chunk_union_once": """
+        SELECT id_fatura, id_conta, dt_vencimento, fl_ativa,
+               CAST(vl_fatura AS DOUBLE) AS vl_fatura
+        FROM invoice""",
+    "rejected_registrations": """
+        SELECT id_conta, dtainclusao
+        FROM (SELECT id_conta, CASE WHEN id_conta % 5 = 0 THEN NULL
+                         WHEN id_conta % 5 = 1 THEN 'sem data' ELSE dt_cadastro END AS dtainclusao
+              FROM registration)
+        WHERE dtainclusao IS NULL OR try_cast(left(dtainclusao, 10) AS DATE) IS NULL""",
+    "rejected_values": """
+        SELECT id_conta, CASE id_conta % 7 WHEN 0 THEN 'dtanascfund'
+                             WHEN 1 THEN 'digcgccpf,nrocgccpf' ELSE 'digcgccpf' END AS rejected
+        FROM client_row WHERE id_conta % 7 < 3""",
+    "only_new": """
+        SELECT id_conta, cpf_cnpj
+        FROM (SELECT id_conta, CASE WHEN id_conta % 4 <> 0 THEN nu_cpf_cnpj END AS cpf_cnpj
+              FROM account) c
+        WHERE NOT EXISTS (
+            SELECT 1
+            FROM (SELECT CASE WHEN id_conta % 4 <> 0 THEN nu_cpf_cnpj END AS queued
+                  FROM account WHERE id_conta % 3 = 0) q
+            WHERE q.queued IS NOT DISTINCT FROM c.cpf_cnpj)""",
     "account_mart": """
         , with_payment AS (
             SELECT DISTINCT i.*, t.vlr_pago, t.dt_pagamento_ult_fatura

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from acctmart import sinks
 from acctmart.checks.domain import domain_tables, read_given
 from acctmart.functions import clean
 from acctmart.operators import filters, flags, groups, lookup, positions
@@ -145,7 +146,7 @@ def _dense_ids(t: TableMap) -> DataFrame:
 
 
 def _postal_lookup(t: TableMap) -> DataFrame:
-    accounts = t["customer"].select("id_conta", F.col("nu_cep").cast("bigint").alias("cep"))
+    accounts = t["customer"].select("id_conta", clean.text_to_long(F.col("nu_cep")).alias("cep"))
     return lookup.range_lookup(
         accounts, "cep", extracts.postal_ranges(t), "cepinicial", "cepfinal", "seqcidade"
     )
@@ -180,6 +181,42 @@ def _chunk_overlap_union(t: TableMap) -> DataFrame:
     return history.invoice_union(t, _overlapping_chunks()).select(*_CHUNK_COLUMNS)
 
 
+def _chunk_union_once(t: TableMap) -> DataFrame:
+    whole = history.invoice_union(t, _overlapping_chunks(), one_per_invoice=True)
+    return whole.select(*_CHUNK_COLUMNS)
+
+
+def _rejected_registrations(t: TableMap) -> DataFrame:
+    """Of the registrations some texts are taken away or made no date."""
+    account = F.col("id_conta") % 5
+    text = F.when(account == 0, None).when(account == 1, "sem data").otherwise(F.col("dtainclusao"))
+    dirty = extracts.registrations(t).withColumn("dtainclusao", text)
+    return customer_queue.rejected_registrations(dirty).select("id_conta", "dtainclusao")
+
+
+def _rejected_values(t: TableMap) -> DataFrame:
+    """Of the customers some birth dates and tax ids are made unreadable."""
+    account = F.col("id_conta") % 7
+    tax_id = F.col("cpf_cnpj")
+    dirty = extracts.customers(t, QUEUE_DAY).withColumns(
+        {
+            "dtanascfund": F.when(account == 0, "?").otherwise(F.col("dtanascfund")),
+            "cpf_cnpj": F.when(account == 1, "sem cpf")
+            .when(account == 2, F.concat(tax_id, F.lit("-x")))
+            .otherwise(tax_id),
+        }
+    )
+    rejected = F.concat_ws(",", "rejected").alias("rejected")
+    return customer_queue.rejected_values(dirty).select("id_conta", rejected)
+
+
+def _only_new(t: TableMap) -> DataFrame:
+    """Accounts whose tax id, at times null, is not among those of every third account."""
+    tax_id = F.when(F.col("id_conta") % 4 != 0, F.col("nu_cpf_cnpj")).alias("cpf_cnpj")
+    rows = t["account"].select("id_conta", tax_id)
+    return sinks.only_new(rows, rows.where("id_conta % 3 = 0").select("cpf_cnpj"), ["cpf_cnpj"])
+
+
 def _rename_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_given(spark, sf_dir, "supplier").toDF("0", "1", "2", "3")
     return catalog.rename_by_position(rows, ["Seqcidade", "Cidade", "Codmunicipio", "Saldo"])
@@ -194,6 +231,10 @@ _OVER_TABLES: dict[str, Callable[[TableMap], DataFrame]] = {
     "sale_span": history.sale_span,
     "invoice_chunks": _invoice_chunks,
     "chunk_overlap_union": _chunk_overlap_union,
+    "chunk_union_once": _chunk_union_once,
+    "rejected_registrations": _rejected_registrations,
+    "rejected_values": _rejected_values,
+    "only_new": _only_new,
     "month_invoices": lambda t: extracts.month_invoices(t, MART_DAY),
     "month_payments": lambda t: extracts.month_payments(t, MART_DAY),
     "active_instalments": _active_instalments,

@@ -7,9 +7,10 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acctmart.functions.clean import STRICT
-from acctmart.operators.filters import HISTORY_RANGES, IdRange
+from acctmart.operators.filters import IdRange, id_ranges
 from acctmart.plans.account_mart import account_mart
 from acctmart.plans.billed_mart import billed_mart
 from acctmart.plans.customer_queue import customer_queue
@@ -110,12 +111,25 @@ def run_customer_queue(
     return _publish(spark, queue, path, target, replace=False)
 
 
+def ranges_of(df: DataFrame, id_name: str, count: int) -> list[IdRange]:
+    """``count`` disjoint ranges of equal width between the table's least and greatest id."""
+    found = df.agg(F.min(id_name).alias("least"), F.max(id_name).alias("most")).first()
+    least, most = (found["least"] or 0), (found["most"] or 0)
+    return id_ranges(least, (most - least) // count + 1, count)
+
+
 def run_invoice_history(
-    tables: TableMap, zones: Zones, ranges: Sequence[IdRange] = tuple(HISTORY_RANGES)
+    tables: TableMap, zones: Zones, ranges: Sequence[IdRange] | None = None, count: int = 10
 ) -> int:
-    """Invoice history in the landing zone, one folder per id range."""
+    """Invoice history in the landing zone, one folder per id range.
+
+    Unless given, the ranges divide the ids that the table has, so that every invoice is in
+    one of them. Rows are sorted into tasks by id, so that a folder gets few files.
+    """
     path = Zones.dataset(zones.landing, "invoice_history")
-    return write_parquet(invoice_chunks(tables, ranges), path, partition_by=["chunk"])
+    ranges = ranges_of(tables["invoice"], "id_fatura", count) if ranges is None else ranges
+    chunks = invoice_chunks(tables, ranges).repartitionByRange("chunk", "id_fatura")
+    return write_parquet(chunks, path, partition_by=["chunk"])
 
 
 def run_sale_span(tables: TableMap, zones: Zones) -> int:

@@ -31,25 +31,35 @@ def since_days(day: Column, as_of: date | None, days: int) -> Column:
 
 @dataclass(frozen=True)
 class IdRange:
-    """A closed id range; ``last=None`` leaves it open above."""
+    """A closed id range; None leaves it open at that end. Open below, it has null ids too."""
 
     number: int
-    first: int
+    first: int | None
     last: int | None
 
     def holds(self, id_column: Column) -> Column:
+        if self.first is None:
+            below = F.lit(True) if self.last is None else id_column <= self.last
+            return id_column.isNull() | below
         if self.last is None:
             return id_column >= self.first
         return id_column.between(self.first, self.last)
 
 
 def id_ranges(first: int, width: int, count: int) -> list[IdRange]:
-    """``count`` ranges that share no id and leave none out from ``first`` on."""
+    """``count`` ranges that share no id and leave none out, of ``width`` ids from ``first`` on.
+
+    The first one is open below, and the last one above.
+    """
     if width < 1 or count < 1:
         raise ValueError("width and count must be positive")
     starts = [first + i * width for i in range(count)]
     return [
-        IdRange(i + 1, start, None if i == count - 1 else start + width - 1)
+        IdRange(
+            i + 1,
+            None if i == 0 else start,
+            None if i == count - 1 else start + width - 1,
+        )
         for i, start in enumerate(starts)
     ]
 
@@ -69,41 +79,66 @@ HISTORY_RANGES = [
 ]
 
 
+def _ordered(ranges: Sequence[IdRange]) -> list[IdRange]:
+    return sorted(ranges, key=lambda r: (r.first is not None, r.first or 0))
+
+
 def overlapping(ranges: Sequence[IdRange]) -> tuple[IdRange, IdRange] | None:
     """Two neighbouring ranges that share an id, if there are any."""
-    ordered = sorted(ranges, key=lambda r: r.first)
+    ordered = _ordered(ranges)
     for left, right in zip(ordered, ordered[1:]):
-        if left.last is None or left.last >= right.first:
+        if left.last is None or right.first is None or left.last >= right.first:
             return left, right
     return None
 
 
+def complete(ranges: Sequence[IdRange]) -> bool:
+    """Whether the ranges leave out no id, null included."""
+    ordered = _ordered(ranges)
+    reached: int | None = None
+    for i, r in enumerate(ordered):
+        if (r.first is not None) if i == 0 else (r.first is not None and r.first > reached + 1):
+            return False
+        if r.last is None:
+            return True
+        reached = r.last if reached is None else max(reached, r.last)
+    return False
+
+
 def split_by_range(
-    df: DataFrame, id_name: str, ranges: Sequence[IdRange], out: str = "chunk"
+    df: DataFrame,
+    id_name: str,
+    ranges: Sequence[IdRange],
+    out: str = "chunk",
+    repeat: bool = True,
 ) -> DataFrame:
     """One row per range that holds the row's id, the range's number in ``out``.
 
-    One scan serves all ranges. Overlapping ranges repeat a row once per range; a row in
-    no range is left out, as it would be by reading the ranges one after another.
+    One scan serves all ranges. Overlapping ranges repeat a row once per range, or, without
+    ``repeat``, give it to the first of them. A row in no range ends the job: none is lost.
     """
     id_column = F.col(id_name)
-    numbers = [F.when(r.holds(id_column), F.lit(r.number)) for r in ranges]
-    in_any = id_column >= min(r.first for r in ranges)
-    if all(r.last is not None for r in ranges):
-        in_any = in_any & (id_column <= max(r.last for r in ranges))
-    kept = df.where(in_any)
-    if overlapping(ranges):
-        return kept.withColumn(out, F.explode(F.array_compact(F.array(*numbers))))
-    numbered = kept.withColumn(out, F.coalesce(*numbers))
-    ordered = sorted(ranges, key=lambda r: r.first)
-    if all(left.last + 1 == right.first for left, right in zip(ordered, ordered[1:])):
-        return numbered
-    return numbered.where(F.col(out).isNotNull())
+    numbers = [F.when(r.holds(id_column), F.lit(r.number)) for r in _ordered(ranges)]
+    missing = F.concat(F.lit("id in no range: "), F.coalesce(id_column.cast("string"), F.lit("null")))
+    first = F.coalesce(*numbers)
+    if not complete(ranges):
+        first = F.coalesce(first, F.raise_error(missing).cast("int"))
+    if not repeat or not overlapping(ranges):
+        return df.withColumn(out, first)
+    every = F.array_compact(F.array(*numbers))
+    if not complete(ranges):
+        every = F.when(F.size(every) > 0, every).otherwise(F.array(first))
+    return df.withColumn(out, F.explode(every))
 
 
 def jdbc_predicates(id_name: str, ranges: Sequence[IdRange]) -> list[str]:
     """One WHERE text per range, for a database read with one task per range."""
-    return [
-        f"{id_name} >= {r.first}" + ("" if r.last is None else f" AND {id_name} <= {r.last}")
-        for r in ranges
-    ]
+
+    def text(r: IdRange) -> str:
+        if r.first is None and r.last is None:
+            return "1 = 1"
+        if r.first is None:
+            return f"({id_name} <= {r.last} OR {id_name} IS NULL)"
+        return f"{id_name} >= {r.first}" + ("" if r.last is None else f" AND {id_name} <= {r.last}")
+
+    return [text(r) for r in ranges]

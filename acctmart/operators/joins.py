@@ -1,4 +1,4 @@
-"""Joins laid out for hot keys and for small sides."""
+"""Joins laid out for hot keys."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctmart.session import ensure_checkpoint_dir
-
-SMALL_ROWS = 1_000_000
-
 
 def splittable_join(
     left: DataFrame,
@@ -18,6 +14,7 @@ def splittable_join(
     on: Sequence[str],
     how: str = "inner",
     right_on: Sequence[str] | None = None,
+    lane: int = 0,
 ) -> DataFrame:
     """Equi-join in which adaptive execution can split a hot key.
 
@@ -25,7 +22,8 @@ def splittable_join(
     for this join, and where no later step relies on the join's partitioning. An input
     already grouped by the key, or a group-by on it afterwards, prevents that. Comparing a
     hash of the keys as well changes no result, yet gives the join a partitioning of its
-    own. The right side's key columns are left out of the result.
+    own. A join on the key of a join before it takes another ``lane``, as else it would reuse
+    that one's partitioning. The right side's key columns are left out of the result.
     """
     right_on = list(right_on or on)
     renamed = {name: f"_right_key_{i}" for i, name in enumerate(right_on)}
@@ -34,18 +32,9 @@ def splittable_join(
         if have != want:
             # Hashes of equal numbers differ between types.
             raise TypeError(f"join keys {name}: {have} and {other}: {want} differ in type")
-    same = F.xxhash64(*on) == F.xxhash64(*renamed.values())
+    marks = [F.lit(lane)] if lane else []
+    same = F.xxhash64(*marks, *on) == F.xxhash64(*marks, *renamed.values())
     for name, other in zip(on, renamed.values()):
         same = same & (F.col(name) == F.col(other))
     joined = left.join(right.withColumnsRenamed(renamed), same, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*renamed.values())
-
-
-def checkpoint_and_size(df: DataFrame, small_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` cut from its lineage, and whether it is small enough to broadcast.
-
-    A result of more rows must be joined by shuffle.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.checkpoint()
-    return kept, kept.count() <= small_rows

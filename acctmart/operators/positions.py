@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctmart.operators.groups import descending
 from acctmart.operators.joins import splittable_join
 from acctmart.session import ensure_checkpoint_dir
 
@@ -87,13 +86,17 @@ def _expand_copies(df: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _rank_hot(df: DataFrame, key: str, value: str, out: str, block: int) -> DataFrame:
-    """Ranks for groups too large for one task.
+def rank_in_group(
+    df: DataFrame, key: str, value: str, out: str, block: int = 100_000
+) -> DataFrame:
+    """Row number per key, highest value first, nulls last; rows of a null key have no rank.
 
-    Equal rows are counted first, the counted rows sorted over all tasks, and the running
-    count minus that of the group's start is the rank.
+    No group has to fit into one task. Equal rows are counted first, the counted rows sorted
+    over all tasks, and the running count less that of the group's start is the rank. The
+    sort is run, and checkpointed, when this is called.
     """
-    counted = df.groupBy(key, value).agg(F.count("*").alias("_copies"))
+    keyed = F.col(key).isNotNull()
+    counted = df.where(keyed).groupBy(key, value).agg(F.count("*").alias("_copies"))
     rows = _sorted_rows(counted, [F.asc(key), F.desc_nulls_last(value)])
     offsets = _offsets(rows.groupBy("_part").agg(F.sum("_copies").alias("_n")))
     # Sorted rows of one partition only: their number is what one task sorted before.
@@ -111,36 +114,6 @@ def _rank_hot(df: DataFrame, key: str, value: str, out: str, block: int) -> Data
         "_copies",
         (F.col("_position") - F.col("_start") + 1).alias("_first"),
     )
-    return _expand_copies(ranked, block).select(key, value, F.col("_rank").alias(out))
-
-
-def rank_in_group(
-    df: DataFrame,
-    key: str,
-    value: str,
-    out: str,
-    hot_rows: int = 5_000_000,
-    block: int = 100_000,
-) -> DataFrame:
-    """Row number per key, highest value first, nulls last; null keys are left out.
-
-    Groups of up to ``hot_rows`` rows use a plain window. Larger ones, found by one
-    count per key, are ranked across tasks.
-    """
-    rows = df.where(F.col(key).isNotNull()).select(key, value)
-    ensure_checkpoint_dir(df.sparkSession)
-    hot = (
-        rows.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(F.col(key).alias("_hot_key"))
-        .checkpoint()
-    )
-    windowed = F.row_number().over(descending(key, value)).cast("bigint").alias(out)
-    if hot.isEmpty():
-        return rows.select(key, value, windowed)
-    is_hot = rows[key] == hot["_hot_key"]
-    cold = rows.join(hot, is_hot, "left_anti").select(key, value, windowed)
-    return cold.unionByName(
-        _rank_hot(rows.join(hot, is_hot, "left_semi"), key, value, out, block)
-    )
+    ranks = _expand_copies(ranked, block).select(key, value, F.col("_rank").alias(out))
+    unranked = df.where(~keyed).select(key, value, F.lit(None).cast("bigint").alias(out))
+    return ranks.unionByName(unranked)

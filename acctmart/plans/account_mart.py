@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from acctmart.functions.clean import yes_no
 from acctmart.operators.flags import coverage, with_exists_flag, with_flags
 from acctmart.operators.groups import key_totals
-from acctmart.schemas import ACCOUNT_MART, conform
+from acctmart.schemas import ACCOUNT_MART, publish
 from acctmart.sources.extracts import ACCOUNT_MART_EXTRACTS, TableMap
 
 
@@ -89,7 +89,7 @@ def account_profiles(extracts: Mapping[str, DataFrame]) -> DataFrame:
 def account_mart(extracts: Mapping[str, DataFrame]) -> DataFrame:
     """The 22-column mart from its extracts."""
     lines = invoice_lines(extracts["invoices"], extracts["payments"])
-    return conform(lines.join(account_profiles(extracts), "id_conta"), ACCOUNT_MART)
+    return publish(lines.join(account_profiles(extracts), "id_conta"), ACCOUNT_MART)
 
 
 def account_mart_from_tables(tables: TableMap, as_of: date | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from acctmart.operators.flags import coverage, with_exists_flag, with_flags
 from acctmart.operators.groups import above
 from acctmart.operators.joins import splittable_join
 from acctmart.plans.account_mart import with_payments
-from acctmart.schemas import BILLED_MART, conform
+from acctmart.schemas import BILLED_MART, publish
 from acctmart.sources.extracts import BILLED_MART_EXTRACTS, TableMap
 
 
@@ -72,7 +72,7 @@ def billed_mart(extracts: Mapping[str, DataFrame], salt: str = "") -> DataFrame:
     joined = lines.join(billed_profiles(extracts), "id_conta")
     billed = above(joined, F.col("vl_fatura"), F.col("vl_faturamento_minimo"))
     hashed = billed.withColumn("id_pessoa", person_hash(F.col("nu_cpf_cnpj"), salt))
-    return conform(hashed, BILLED_MART)
+    return publish(hashed, BILLED_MART)
 
 
 def billed_mart_from_tables(

@@ -25,9 +25,9 @@ from acctmart.functions.clean import (
 )
 from acctmart.operators.filters import since_days
 from acctmart.operators.groups import top_two
-from acctmart.operators.joins import SMALL_ROWS, checkpoint_and_size, splittable_join
+from acctmart.operators.joins import splittable_join
 from acctmart.operators.positions import assign_dense_ids
-from acctmart.schemas import CUSTOMER_QUEUE, conform
+from acctmart.schemas import CUSTOMER_QUEUE, publish
 from acctmart.sinks import only_new
 from acctmart.sources.extracts import CUSTOMER_QUEUE_EXTRACTS, TableMap
 
@@ -39,8 +39,14 @@ TEXT_WIDTHS = {"bairro": 50, "cidade": 30, "logradouro": 80}
 def recent_registrations(
     registrations: DataFrame, as_of: date | None, mode: str = STRICT, days: int = LOOK_BACK_DAYS
 ) -> DataFrame:
-    """Registrations of the last days, with the day parsed next to its text."""
-    day = parse_date_prefix(F.col("dtainclusao"), mode)
+    """Registrations of the last days, with the day parsed next to its text.
+
+    A registration without a date ends the job in strict mode, as one with a bad date does.
+    """
+    text = F.col("dtainclusao")
+    day = parse_date_prefix(text, mode)
+    if mode == STRICT:
+        day = F.when(text.isNull(), F.raise_error(F.lit("registration without a date"))).otherwise(day)
     return registrations.withColumn("_day", day).where(since_days(F.col("_day"), as_of, days))
 
 
@@ -48,27 +54,20 @@ def new_customers(
     extracts: Mapping[str, DataFrame],
     as_of: date | None,
     mode: str = STRICT,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Recently registered customers that have a phone row, before cleaning.
 
-    The recency filter comes first. Where few rows pass it, they are broadcast, and neither
-    the wide customer rows nor the phones of other accounts are shuffled. Equal rows are
-    removed on the uncleaned values: two registrations on one day both stay.
+    The recency filter comes first, and only phones of accounts that pass it are ranked.
+    Adaptive execution broadcasts the recent registrations where their bytes are few, and
+    splits an account with very many of them otherwise. Equal rows are removed on the
+    uncleaned values: two registrations on one day both stay.
     """
-    recent, small = checkpoint_and_size(
-        recent_registrations(extracts["registrations"], as_of, mode).distinct(), small_rows
-    )
-    names = ["fone_celular", "fone_celular_1", "fone_celular_2"]
-    if small:
-        recent = F.broadcast(recent)
-        accounts = recent.select("id_conta")
-        phones = extracts["phones"].join(F.broadcast(accounts), "id_conta", "left_semi")
-        registered = extracts["customers"].join(recent, "id_conta")
-    else:
-        phones = extracts["phones"]
-        registered = splittable_join(extracts["customers"], recent, ["id_conta"])
-    return registered.join(top_two(phones, "id_conta", *names), "id_conta").distinct()
+    key = ["id_conta"]
+    recent = recent_registrations(extracts["registrations"], as_of, mode).distinct()
+    phones = splittable_join(extracts["phones"], recent.select(*key).distinct(), key, "left_semi")
+    top = top_two(phones, "id_conta", "fone_celular", "fone_celular_1", "fone_celular_2")
+    registered = splittable_join(extracts["customers"], recent, key)
+    return splittable_join(registered, top, key, lane=1).distinct()
 
 
 def clean_customers(customers: DataFrame, mode: str = STRICT) -> DataFrame:
@@ -93,8 +92,9 @@ def clean_customers(customers: DataFrame, mode: str = STRICT) -> DataFrame:
 
 
 def rejected_registrations(registrations: DataFrame) -> DataFrame:
-    """Registrations whose text has no date; lenient mode does not queue them."""
-    return registrations.where(bad_date(date_prefix(F.col("dtainclusao"))))
+    """Registrations whose text is missing or has no date; lenient mode does not queue them."""
+    text = F.col("dtainclusao")
+    return registrations.where(text.isNull() | bad_date(date_prefix(text)))
 
 
 def rejected_values(customers: DataFrame) -> DataFrame:
@@ -124,13 +124,18 @@ def customer_queue(
     """The 30-column queue; ids run from ``start_id`` by account and registration text.
 
     The look-back lets consecutive runs queue a customer again. Given the rows already
-    queued, those whose ``keys`` are among them are left out before ids are given.
+    queued, those whose ``keys`` are among them are left out before ids are given. Of the
+    queued rows only those with a day in the look-back are read, if the day is a key: no
+    other can match.
     """
     cleaned = clean_customers(new_customers(extracts, as_of, mode), mode)
     if already_queued is not None:
+        if "dtainclusao" in keys:
+            in_reach = since_days(F.col("dtainclusao"), as_of, LOOK_BACK_DAYS)
+            already_queued = already_queued.where(in_reach)
         cleaned = only_new(cleaned, already_queued, keys)
     order = [F.asc("id_conta"), F.asc("_registered")]
-    return conform(assign_dense_ids(cleaned, order, start_id, "id_pessoa_fila"), CUSTOMER_QUEUE)
+    return publish(assign_dense_ids(cleaned, order, start_id, "id_pessoa_fila"), CUSTOMER_QUEUE)
 
 
 def customer_queue_from_tables(

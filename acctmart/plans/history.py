@@ -22,8 +22,10 @@ def invoice_union(
     tables: TableMap, ranges: Sequence[IdRange], one_per_invoice: bool = False
 ) -> DataFrame:
     """All ranges together. Ids in two ranges come twice unless ``one_per_invoice``."""
-    rows = invoice_chunks(tables, ranges).drop("chunk")
-    return rows.dropDuplicates(["id_fatura"]) if one_per_invoice else rows
+    rows = split_by_range(
+        invoice_history(tables), "id_fatura", ranges, repeat=not one_per_invoice
+    )
+    return rows.drop("chunk")
 
 
 def sale_span(tables: TableMap) -> DataFrame:

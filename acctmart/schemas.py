@@ -23,6 +23,8 @@ from pyspark.sql.types import (
 
 LONG, INT, TEXT = LongType(), IntegerType(), StringType()
 DATE, TIMESTAMP = DateType(), TimestampType()
+#: Published timestamps: wall-clock time, whatever kind the source has.
+WALL_CLOCK = TimestampNTZType()
 MONEY, TOTAL = DecimalType(18, 2), DecimalType(28, 2)
 
 
@@ -93,8 +95,8 @@ TABLES: dict[str, StructType] = {
 ACCOUNT_MART = _struct(
     id_pessoa=TEXT, tx_status_cartao=TEXT, tx_motivo_bloqueio=TEXT,
     fl_possui_seguros=INT, fl_possui_odonto=INT, fl_possui_parcelamento_fatura=INT,
-    fl_possui_fatura_garantida=INT, dt_ultima_compra=TIMESTAMP,
-    dt_primeira_compra=TIMESTAMP, dt_cadastro=DATE, qtd_dias_atraso=INT,
+    fl_possui_fatura_garantida=INT, dt_ultima_compra=WALL_CLOCK,
+    dt_primeira_compra=WALL_CLOCK, dt_cadastro=DATE, qtd_dias_atraso=INT,
     tx_loja_origem=TEXT, vlr_fatura=MONEY, vlr_pago=TOTAL, tx_status_conta=TEXT,
     id_produto=INT, tx_descricao_produto=TEXT, id_conta=LONG,
     dt_vencimento_fatura=DATE, fl_servico_sms=INT, fl_fatura_ativa_mes=INT,
@@ -129,6 +131,17 @@ def _same_kind(have: DataType, want: DataType) -> bool:
     return have == want or (isinstance(have, _TIMESTAMPS) and isinstance(want, _TIMESTAMPS))
 
 
+def publish(df: DataFrame, schema: StructType) -> DataFrame:
+    """``conform`` for a published table: timestamps get the schema's kind as well."""
+    rows = conform(df, schema)
+    kinds = {
+        f.name: F.col(f.name).cast(f.dataType)
+        for f in schema
+        if rows.schema[f.name].dataType != f.dataType
+    }
+    return rows.withColumns(kinds) if kinds else rows
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the schema's columns by name (any case), in its order and types."""
     present = {field.name.lower(): field for field in df.schema}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
@@ -35,8 +33,8 @@ def recommended_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster that folder
-    would be lost with the machine holding it.
+    Where the setting is missing, a folder of the warehouse is used, which all executors
+    reach as well. A folder of one machine would be lost with it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,8 +42,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="acctmart-checkpoint-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(folder)
     return folder

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-ROWS_PER_COMMIT = 10_000
+ROWS_PER_STATEMENT = 10_000
 
 
 def write_parquet(
@@ -56,17 +56,18 @@ def jdbc_options(
     table: str,
     replace: bool,
     connections: int,
-    rows_per_commit: int = ROWS_PER_COMMIT,
+    rows_per_statement: int = ROWS_PER_STATEMENT,
     properties: Mapping[str, str] | None = None,
 ) -> dict[str, Any]:
     """Writer options of a database load.
 
-    ``connections`` bounds how many tasks write at once. A replacing load truncates, so
-    the table keeps its definition and grants.
+    ``connections`` bounds how many tasks write at once, and ``rows_per_statement`` how many
+    rows an insert batch has. Each task commits once, at its end. A replacing load truncates,
+    so the table keeps its definition and grants.
     """
     options: dict[str, Any] = dict(properties or {})
     options.update(
-        url=url, dbtable=table, batchsize=rows_per_commit, numPartitions=connections
+        url=url, dbtable=table, batchsize=rows_per_statement, numPartitions=connections
     )
     if replace:
         options["truncate"] = True
@@ -79,26 +80,35 @@ def load_jdbc(
     table: str,
     replace: bool = False,
     connections: int = 16,
-    rows_per_commit: int = ROWS_PER_COMMIT,
+    rows_per_statement: int = ROWS_PER_STATEMENT,
     properties: Mapping[str, str] | None = None,
 ) -> bool:
     """Insert by column name; an empty result loads nothing and returns False.
 
     A replacing load of an empty result still truncates the table, as a truncate step
-    ahead of the insert would.
+    ahead of the insert would. An append that fails may leave the rows of finished tasks in
+    the table; ``only_new`` makes repeating it safe.
     """
     if not replace and df.isEmpty():
         return False
-    options = jdbc_options(url, table, replace, connections, rows_per_commit, properties)
+    options = jdbc_options(url, table, replace, connections, rows_per_statement, properties)
     mode = "overwrite" if replace else "append"
     df.write.format("jdbc").options(**options).mode(mode).save()
     return True
 
 
 def only_new(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the target yet, so that a repeated load adds nothing."""
-    loaded = target.select(*keys).distinct()
-    return df.join(loaded, list(keys), "left_anti")
+    """Rows whose key is not in the target yet, so that a repeated load adds nothing.
+
+    Null keys equal each other. Comparing a hash of the keys as well gives the join a
+    partitioning of its own, so that a hot key can be split.
+    """
+    names = [f"_loaded_{i}" for i in range(len(keys))]
+    loaded = target.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    same = F.xxhash64(*keys) == F.xxhash64(*names)
+    for key, name in zip(keys, names):
+        same = same & F.col(key).eqNullSafe(F.col(name))
+    return df.join(loaded, same, "left_anti")
 
 
 def with_row_count(df: DataFrame, counted: Observation) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctmart.operators.filters import IdRange, jdbc_predicates, overlapping
+from acctmart.operators.filters import IdRange, complete, jdbc_predicates, overlapping
 from acctmart.schemas import TABLES, conform
 
 _SUFFIX = ".parquet"
@@ -84,9 +84,16 @@ def query_catalog(spark: SparkSession, sql: str) -> DataFrame:
 
 
 def query_database(
-    spark: SparkSession, url: str, sql: str, properties: Mapping[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    sql: str,
+    properties: Mapping[str, str] | None = None,
+    id_name: str | None = None,
+    ranges: Sequence[IdRange] | None = None,
 ) -> DataFrame:
-    """Result of a query that a database runs."""
+    """Result of a query that a database runs; one task per range of a result column if given."""
+    if ranges is not None:
+        return read_database_table(spark, url, f"({sql}) ranged", properties, id_name, ranges)
     reader = spark.read.format("jdbc").options(url=url, query=sql, **(properties or {}))
     return lower_case(reader.load())
 
@@ -101,7 +108,8 @@ def read_database_table(
 ) -> DataFrame:
     """A database table, local or behind a database link; one task per id range if given.
 
-    Ranges that overlap would read rows twice, so they are refused here.
+    Ranges only divide the work: those that overlap would read rows twice, those that leave
+    ids out would lose rows, and both are refused. Without ranges one task reads it all.
     """
     options = dict(properties or {})
     if ranges is None:
@@ -111,5 +119,7 @@ def read_database_table(
     shared = overlapping(ranges)
     if shared:
         raise ValueError(f"ranges {shared[0].number} and {shared[1].number} overlap")
+    if not complete(ranges):
+        raise ValueError("ranges leave ids out: open the first below and the last above")
     predicates = jdbc_predicates(id_name, ranges)
     return lower_case(spark.read.jdbc(url, table, predicates=predicates, properties=options))

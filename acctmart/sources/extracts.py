@@ -85,10 +85,9 @@ def latest_invoices_above_minimum(tables: TableMap, as_of: date | None = None) -
     return latest_per_key(qualifying, "id_conta", "id_fatura")
 
 
-def payments_of_latest_invoice(tables: TableMap, as_of: date | None = None) -> DataFrame:
-    """Payments of each account's latest qualifying invoice, matched by invoice id."""
-    latest = latest_invoices_above_minimum(tables).select("id_fatura")
-    return splittable_join(tables["payment"], latest, ["id_fatura"]).select(
+def _payments_of(tables: TableMap, invoices: DataFrame) -> DataFrame:
+    """Payments of the given invoice ids."""
+    return splittable_join(tables["payment"], invoices, ["id_fatura"]).select(
         "id_fatura",
         "id_conta",
         F.col("dt_pagamento").alias("dt_pagamento_ult_fatura"),
@@ -96,6 +95,41 @@ def payments_of_latest_invoice(tables: TableMap, as_of: date | None = None) -> D
     )
 
 
+def payments_of_latest_invoice(tables: TableMap, as_of: date | None = None) -> DataFrame:
+    """Payments of each account's latest qualifying invoice, matched by invoice id."""
+    return _payments_of(tables, latest_invoices_above_minimum(tables).select("id_fatura"))
+
+
+def payments_of_month_invoices(tables: TableMap, as_of: date | None = None) -> DataFrame:
+    """Of ``payments_of_latest_invoice`` those for invoices due in the month of ``as_of``.
+
+    The billed mart joins no others, so only one month's payments are totalled.
+    """
+    latest = latest_invoices_above_minimum(tables).select("id_fatura")
+    due = month_invoices(tables, as_of).select("id_fatura").distinct()
+    return _payments_of(tables, splittable_join(latest, due, ["id_fatura"], "left_semi"))
+
+
+def of_month_accounts(df: DataFrame, tables: TableMap, as_of: date | None) -> DataFrame:
+    """Rows of ``df`` whose account has an invoice due in the month of ``as_of``."""
+    due = month_invoices(tables, as_of).select("id_conta").distinct()
+    return splittable_join(df, due, ["id_conta"], "left_semi")
+
+
+def month_sale_spans(tables: TableMap, as_of: date | None = None) -> DataFrame:
+    """Last and first active sale of the month's accounts, over their whole history."""
+    sales = of_month_accounts(tables["sale"].select("id_conta", "dt_venda", "fl_status"), tables, as_of)
+    return sale_spans({"sale": sales})
+
+
+def month_clients(tables: TableMap, as_of: date | None = None) -> DataFrame:
+    return of_month_accounts(clients(tables), tables, as_of)
+
+
+def month_instalments(tables: TableMap, as_of: date | None = None) -> DataFrame:
+    return of_month_accounts(instalments(tables), tables, as_of)
+
+
 def latest_invoices(tables: TableMap, as_of: date | None = None) -> DataFrame:
     """Highest invoice id per account, from the source's own view where it has one."""
     if "latest_invoice" in tables:
@@ -240,12 +274,11 @@ ACCOUNT_MART_EXTRACTS = ExtractSet(
         "products": products,
         "invoices": month_invoices,
         "insurance": insurance,
-        "sale_spans": sale_spans,
+        "sale_spans": month_sale_spans,
         "payments": month_payments,
-        "latest_invoices": latest_invoices,
         "accounts": accounts,
-        "clients": clients,
-        "instalments": instalments,
+        "clients": month_clients,
+        "instalments": month_instalments,
     }
 )
 
@@ -254,10 +287,10 @@ BILLED_MART_EXTRACTS = ExtractSet(
         "products": products,
         "invoices": month_invoices,
         "insurance": insurance,
-        "payments": payments_of_latest_invoice,
+        "payments": payments_of_month_invoices,
         "accounts": accounts,
         "client_statuses": client_statuses,
-        "instalments": instalments,
+        "instalments": month_instalments,
     }
 )
 
@@ -266,6 +299,5 @@ CUSTOMER_QUEUE_EXTRACTS = ExtractSet(
         "customers": customers,
         "registrations": registrations,
         "phones": phones,
-        "postal_ranges": postal_ranges,
     }
 )

@@ -25,5 +25,28 @@ def final_plan(df: DataFrame) -> str:
     return plan.toString().split("== Initial Plan ==")[0]
 
 
+def most_rows_of_a_task(spark: SparkSession, work) -> int:
+    """The most rows that any task read from a shuffle while ``work()`` ran."""
+    sc = spark.sparkContext
+    store, gateway = sc._jsc.sc().statusStore(), sc._gateway
+
+    def stages():
+        none = gateway.new_array(gateway.jvm.double, 0)
+        found = store.stageList(None, False, False, none, gateway.jvm.java.util.ArrayList())
+        return {(found.apply(i).stageId(), found.apply(i).attemptId()) for i in range(found.size())}
+
+    before = stages()
+    work()
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    most = 0
+    for stage, attempt in stages() - before:
+        tasks = store.taskList(stage, attempt, 10_000)
+        for i in range(tasks.size()):
+            metrics = tasks.apply(i).taskMetrics()
+            if metrics.isDefined():
+                most = max(most, metrics.get().shuffleReadMetrics().recordsRead())
+    return most
+
+
 def static_plan(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()

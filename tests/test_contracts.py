@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from helpers import rows, table
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from acctmart import schemas
@@ -112,7 +113,7 @@ def test_lenient_queue_keeps_rows_with_bad_values(spark):
 
     extracts_ = customer_queue.CUSTOMER_QUEUE_EXTRACTS.run(tables, QUEUE_DAY)
     rejected = customer_queue.rejected_registrations(extracts_["registrations"])
-    assert rows(rejected) == [("yesterday", 1)]
+    assert rows(rejected) == [("yesterday", 1), (None, 1)]
     found = customer_queue.rejected_values(extracts_["customers"])
     assert rows(found.select("id_conta", "rejected")) == [(1, ["dtanascfund", "nrocgccpf"])]
 
@@ -157,6 +158,22 @@ def test_recency_includes_the_second_day_back(spark):
     assert [r["id_conta"] for r in got.orderBy("id_conta").collect()] == [2, 3]
 
 
+@pytest.mark.parametrize("text", [None, "yesterday", ""])
+def test_strict_mode_stops_at_a_registration_without_a_date(spark, text):
+    rows_ = spark.createDataFrame([(1, text), (2, "2024-01-30")], "id_conta bigint, dtainclusao string")
+    with pytest.raises(PySparkException):
+        recent_registrations(rows_, QUEUE_DAY).collect()
+    assert recent_registrations(rows_, QUEUE_DAY, "lenient").count() == 1
+    assert customer_queue.rejected_registrations(rows_).count() == 1
+
+
+def test_published_timestamps_have_one_kind(spark):
+    for kind in ("timestamp", "timestamp_ntz"):
+        span = spark.sql(f"SELECT CAST('2024-01-30 10:00:00' AS {kind}) AS t")
+        schema = schemas._struct(t=schemas.WALL_CLOCK)
+        assert schemas.publish(span, schema).dtypes == [("t", "timestamp_ntz")]
+
+
 def test_conform_accepts_any_case_and_reports_missing_columns(spark):
     df = spark.createDataFrame([("1", 2)], "ID_CONTA string, Id_Fatura bigint")
     got = schemas.conform(df, schemas.TABLES["latest_invoice"])

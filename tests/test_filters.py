@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 from helpers import rows, static_plan
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from acctmart.operators import filters
@@ -47,11 +48,14 @@ def test_look_back_includes_its_first_day(spark):
 @pytest.mark.parametrize("first,width,count", [(0, 1, 1), (0, 10, 3), (5, 7, 10), (-3, 2, 4)])
 def test_generated_ranges_share_nothing_and_miss_nothing(spark, first, width, count):
     ranges = filters.id_ranges(first, width, count)
-    ids = spark.range(first - 2, first + width * (count + 1)).withColumnRenamed("id", "i")
+    assert filters.complete(ranges) and not filters.overlapping(ranges)
+    wanted = list(range(first - 2, first + width * (count + 1)))
+    ids = spark.createDataFrame([(i,) for i in [None, *wanted]], "i bigint")
     got = filters.split_by_range(ids, "i", ranges)
-    kept = [r["i"] for r in got.orderBy("i").collect()]
-    assert kept == list(range(first, first + width * (count + 1)))
-    assert got.select("chunk").distinct().count() == count
+    kept = {r["i"]: r["chunk"] for r in got.collect()}
+    assert got.count() == len(kept) and set(kept) == {None, *wanted}
+    assert kept[None] == kept[first - 1] == 1
+    assert set(kept.values()) == set(range(1, count + 1))
 
 
 def test_empty_ranges_are_refused():
@@ -63,27 +67,32 @@ def test_historical_bounds_repeat_two_ids(spark):
     ends = sorted(
         {r.first for r in filters.HISTORY_RANGES}
         | {r.last for r in filters.HISTORY_RANGES if r.last is not None}
-        | {-1, 25_000_000}
+        | {25_000_000}
     )
-    ids = spark.createDataFrame([(i,) for i in ends] + [(None,)], "i bigint")
+    ids = spark.createDataFrame([(i,) for i in ends], "i bigint")
     got = filters.split_by_range(ids, "i", filters.HISTORY_RANGES)
     counts = {r["i"]: r["count"] for r in got.groupBy("i").count().collect()}
-    assert [i for i, n in counts.items() if n == 2] == [2176917, 2176918] or sorted(
-        i for i, n in counts.items() if n == 2
-    ) == [2176917, 2176918]
-    assert set(ends) - set(counts) == {-1}
+    assert sorted(i for i, n in counts.items() if n == 2) == [2176917, 2176918]
+    assert set(ends) == set(counts)
     assert {r["i"]: r["chunk"] for r in got.collect()}[25_000_000] == 10
+    once = filters.split_by_range(ids, "i", filters.HISTORY_RANGES, repeat=False)
+    assert once.count() == len(ends)
 
 
-def test_closed_ranges_leave_out_ids_above(spark):
-    ranges = [filters.IdRange(1, 0, 4), filters.IdRange(2, 6, 8)]
-    got = filters.split_by_range(spark.range(12), "id", ranges)
-    assert [tuple(r) for r in got.orderBy("id").collect()] == [
-        (i, 1) for i in range(5)
-    ] + [(i, 2) for i in (6, 7, 8)]
+@pytest.mark.parametrize("bad", [None, -1])
+@pytest.mark.parametrize("repeat", [True, False])
+def test_an_id_in_no_range_ends_the_job(spark, bad, repeat):
+    ids = spark.createDataFrame([(5,), (bad,)], "i bigint")
+    with pytest.raises(PySparkException, match="id in no range"):
+        filters.split_by_range(ids, "i", filters.HISTORY_RANGES, repeat=repeat).collect()
+    gap = [filters.IdRange(1, None, 4), filters.IdRange(2, 6, None)]
+    assert not filters.complete(gap)
+    with pytest.raises(PySparkException, match="id in no range: 5"):
+        filters.split_by_range(ids, "i", gap, repeat=repeat).collect()
 
 
 def test_range_texts_for_a_database():
-    assert filters.jdbc_predicates("id", filters.id_ranges(0, 10, 2)) == [
-        "id >= 0 AND id <= 9", "id >= 10",
+    assert filters.jdbc_predicates("id", filters.id_ranges(0, 10, 3)) == [
+        "(id <= 9 OR id IS NULL)", "id >= 10 AND id <= 19", "id >= 20",
     ]
+    assert filters.jdbc_predicates("id", filters.id_ranges(0, 10, 1)) == ["1 = 1"]

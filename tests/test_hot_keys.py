@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import pytest
-from helpers import final_plan, table
+from helpers import final_plan, most_rows_of_a_task, table
 from pyspark.sql import functions as F
 
-from acctmart.operators import flags, groups, lookup
+from acctmart.operators import flags, groups, lookup, positions
 from acctmart.operators.joins import splittable_join
 from acctmart.plans.account_mart import account_mart
+from acctmart.plans.customer_queue import new_customers
 from acctmart.sources import extracts
 
 ROWS = 120_000
@@ -116,6 +117,43 @@ def test_range_lookup_of_one_code(spark, hot):
     assert "skew=true" in final_plan(df)
 
 
+def test_ranks_of_one_group(spark, hot, settings):
+    """No task of any stage, also before the checkpoint, has the group's 40,000 rows."""
+    settings(
+        {
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "32",
+        }
+    )
+    got = []
+
+    def work():
+        ranked = positions.rank_in_group(keyed(spark), "k", "payload", "rank")
+        got.append(ranked.where("k = 7").agg(F.count("*"), F.max("rank")).first())
+
+    most = most_rows_of_a_task(spark, work)
+    expected = sum(i % 3 == 0 or i % 2000 == 7 for i in range(ROWS))
+    assert tuple(got[0]) == (expected, expected)
+    assert 0 < most < expected * 0.75
+
+
+def test_queue_of_one_account_registered_very_often(spark, hot):
+    extracts_ = {
+        "registrations": keyed(spark).selectExpr(
+            "k AS id_conta", "'2024-01-30 ' || payload AS dtainclusao"
+        ),
+        "customers": accounts(spark).selectExpr("id_conta", "nu_cpf_cnpj AS cpf_cnpj"),
+        "phones": accounts(spark).selectExpr("id_conta", "'11987654321' AS fone_celular"),
+    }
+    from datetime import date
+
+    df = new_customers(extracts_, date(2024, 1, 30))
+    plan = final_plan(df)
+    assert plan.count("SortMergeJoin(skew=true)") >= 2
+    assert "Broadcast" not in plan
+    assert df.count() == ROWS
+
+
 def test_account_mart(spark, hot):
     from datetime import date
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date
 
 import pytest
@@ -60,4 +61,8 @@ def test_bulk_jobs(spark, tables, zones):
     assert jobs.run_invoice_history(tables, zones) == 1500
     assert jobs.run_sale_span(tables, zones) == 145
     history = spark.read.parquet(Zones.dataset(zones.landing, "invoice_history"))
-    assert history.where("chunk = 1").count() == 1500
+    assert history.select("id_processamento").distinct().count() == history.count() == 1500
+    assert history.select("chunk").distinct().count() == 10
+    folder = Zones.dataset(zones.landing, "invoice_history")
+    files = [f for f in os.listdir(f"{folder}/chunk=5") if f.startswith("part-")]
+    assert len(files) <= 2

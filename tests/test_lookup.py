@@ -54,9 +54,24 @@ def test_ranges_open_at_either_end(spark):
     assert rows(look_up(spark, codes, ranges)) == brute_force(codes, ranges)
 
 
-def test_codes_out_of_reach_are_refused(spark):
-    with pytest.raises(PySparkException, match="62 bits"):
-        look_up(spark, [2**62], [(0, 5, 1)]).collect()
+def test_codes_at_both_ends_of_the_numbers(spark):
+    top, bottom = 2**63 - 1, -(2**63)
+    ranges = [
+        (top, top, 9), (bottom, bottom, 8), (top - 20, top, 12), (bottom, bottom + 33, 11),
+        (bottom, top, 20), (2**62, top, 15), (bottom, -(2**62), 14), (5, 4, 1),
+    ]
+    codes = [top, top - 1, top - 20, top - 21, bottom, bottom + 1, bottom + 33, bottom + 34,
+             2**62, 2**62 - 1, -(2**62), 1 - 2**62, 0]
+    assert rows(look_up(spark, codes, ranges)) == brute_force(codes, ranges)
+
+
+def test_codes_given_as_text(spark):
+    df = spark.createDataFrame([("00000012",), ("x",), ("",), (None,)], "cep string")
+    ranges = spark.createDataFrame([(10, 20, 3)], "lo bigint, hi bigint, seq bigint")
+    got = range_lookup(df, "cep", ranges, "lo", "hi", "seq", mode="lenient")
+    assert rows(got) == sorted([("00000012", 3), ("x", None), ("", None), (None, None)], key=repr)
+    with pytest.raises(PySparkException, match="not a number"):
+        range_lookup(df, "cep", ranges, "lo", "hi", "seq").collect()
 
 
 def test_no_ranges_and_no_codes(spark):

@@ -25,6 +25,22 @@ def duck():
     return con
 
 
+def test_every_flag_takes_both_values():
+    """Else a constant would pass the comparison."""
+    con = duckdb.connect()
+    for name in ["region", "nation", "customer", "supplier", "orders", "lineitem", "events"]:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.01/{name}.parquet'")
+    for name in ("account_mart", "account_mart_billed"):
+        result = con.execute(ORACLE[name])
+        columns = [d[0] for d in result.description]
+        rows = result.fetchall()
+        for i, column in enumerate(columns):
+            if column.lower().startswith(("fl_possui", "flgpossui", "fl_servico", "fl_envia", "fl_fatura")):
+                assert {r[i] for r in rows} == {0, 1}, (name, column)
+    assert con.execute(ORACLE["phone_rank"] + ' WHERE "rank" IS NULL').fetchall()
+    assert con.execute(ORACLE["invoice_chunks"] + " WHERE id_fatura IS NULL").fetchall()
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 

@@ -163,11 +163,10 @@ def test_billed_mart(both):
     assert assert_same(df, con, "account_mart_billed")
 
 
-@pytest.mark.parametrize("small_rows", [1_000_000, 0])
-def test_customer_queue(both, small_rows):
+def test_customer_queue(both):
     tables, con = both
     extracts = customer_queue.CUSTOMER_QUEUE_EXTRACTS.run(tables, QUEUE_DAY)
-    found = customer_queue.new_customers(extracts, QUEUE_DAY, small_rows=small_rows)
+    found = customer_queue.new_customers(extracts, QUEUE_DAY)
     queue = customer_queue.customer_queue(extracts, QUEUE_DAY, 5000)
     rows = assert_same(queue, con, "customer_queue", leave_out=("id_pessoa_fila",))
     assert rows

@@ -89,6 +89,9 @@ def test_only_new_makes_a_repeated_load_add_nothing(spark):
     queue = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "i int, k string")
     target = spark.createDataFrame([(9, "a"), (9, "a")], "i int, k string")
     assert rows(sinks.only_new(queue, target, ["k"]).select("i")) == [(2,), (3,)]
+    with_null = target.union(spark.createDataFrame([(9, None)], "i int, k string"))
+    assert rows(sinks.only_new(queue, with_null, ["k"]).select("i")) == [(2,)]
+    assert sinks.only_new(queue, queue, ["i", "k"]).isEmpty()
     assert sinks.only_new(queue.where("k = 'a'"), target, ["k"]).isEmpty()
 
 
@@ -160,6 +163,8 @@ def test_database_reads_refuse_overlapping_ranges(spark):
         catalog.read_database_table(
             spark, "jdbc:x", "t", id_name="i", ranges=HISTORY_RANGES
         )
+    with pytest.raises(ValueError, match="leave ids out"):
+        catalog.read_database_table(spark, "jdbc:x", "t", id_name="i", ranges=HISTORY_RANGES[2:])
     with pytest.raises(ValueError, match="id column"):
         catalog.read_database_table(spark, "jdbc:x", "t", ranges=id_ranges(0, 5, 2))
 
@@ -199,7 +204,10 @@ def test_database_queries_and_tables(spark):
     catalog.read_database_table(
         fake, "jdbc:x", "t", id_name="i", ranges=id_ranges(0, 5, 2)
     )
-    assert fake.asked["jdbc"][2]["predicates"] == ["i >= 0 AND i <= 4", "i >= 5"]
+    assert fake.asked["jdbc"][2]["predicates"] == ["(i <= 4 OR i IS NULL)", "i >= 5"]
+    catalog.query_database(fake, "jdbc:x", "select 1 i", id_name="i", ranges=id_ranges(0, 5, 2))
+    assert fake.asked["jdbc"][:2] == ("jdbc:x", "(select 1 i) ranged")
+    assert len(fake.asked["jdbc"][2]["predicates"]) == 2
 
 
 def test_preview_prints_rows(spark, capsys):
