@@ -59,6 +59,12 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         yield batch.slice(start)
 
 
+def give_back(cache: dict) -> None:
+    """Free what a task has gathered: its worker stays, and shares memory with the executor."""
+    cache.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def sample_texts(
     documents: DataFrame, labelled: DataFrame, label: str, per_label: int, longest: int = 50_000
 ) -> list[tuple[str, object]]:

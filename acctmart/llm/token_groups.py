@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctmart.llm.common import keep_rows, slices, text_key, write_table
+from acctmart.llm.common import give_back, keep_rows, slices, text_key, write_table
 from acctmart.operators.joins import splittable_join
 
 SHINGLE, PERCENT = 4, 85
@@ -42,7 +42,7 @@ _BLOCK = 1 << 12
 #: First members of a run that later ones are compared with. Links it misses are found later.
 LEADERS = 32
 #: Word hashes that a task keeps; it starts anew beyond them.
-_CACHED = 500_000
+_CACHED = 100_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -133,6 +133,7 @@ def _features(width: int):
                     ],
                     _FEATURE_NAMES,
                 )
+        give_back(_HASHES)
         blocks = [i for i in range(len(counts) // _BLOCK) if counts[i * _BLOCK : (i + 1) * _BLOCK].any()]
         n = len(blocks)
         longs, data = pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())
@@ -252,6 +253,7 @@ def _group_rows(shared, width: int, percent: int):
                 yield pa.RecordBatch.from_pylist(out, _GROUP_SCHEMA)
                 out = []
         yield pa.RecordBatch.from_pylist(out + run.rows(), _GROUP_SCHEMA)
+        give_back(_HASHES)
 
     return run
 
@@ -297,6 +299,7 @@ def _verify(width: int, percent: int):
                 if linked(tokens, shingle_set(unpack(y).decode(), width), percent):
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+        give_back(_HASHES)
 
     return run
 
