@@ -20,8 +20,8 @@ from acctmart.llm.common import free_name, held_out, sample_texts
 #: Chunks of this many bytes; neighbours share OVERLAP bytes.
 CHUNK, OVERLAP = 512, 16
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 6, 8, 2, 32, 16
-#: Training: documents of each label at most, chunks of each, passes.
-TRAIN_PER_LABEL, TRAIN_CHUNKS, EPOCHS = 1500, 8, 6
+#: Training: documents of each label at most, chunks of each, and passes and steps at least.
+TRAIN_PER_LABEL, TRAIN_CHUNKS, EPOCHS, STEPS = 1500, 8, 6, 600
 #: Chunks that are scored at a time.
 AT_ONCE = 512
 _STEPS = (CHUNK - WIDTH) // STRIDE + 1
@@ -149,6 +149,7 @@ def train(samples: list[tuple[str, int]], prior: float, epochs: int = EPOCHS, se
     mean = {k: np.zeros_like(v) for k, v in model.items()}
     square = {k: np.zeros_like(v) for k, v in model.items()}
     step = 0
+    epochs = max(epochs, -(-STEPS // -(-len(rows) // 32)))
     for epoch in range(epochs):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), 32):
@@ -156,7 +157,7 @@ def train(samples: list[tuple[str, int]], prior: float, epochs: int = EPOCHS, se
             # Of long training texts some neighbouring chunks, another stretch each time.
             begins = [rng.integers(0, max(1, len(rows[j]) - TRAIN_CHUNKS + 1)) for j in some]
             batch = [rows[j][b : b + TRAIN_CHUNKS] for j, b in zip(some, begins)]
-            rate = 0.004 / (1 + epoch)
+            rate = 0.004 / (1 + EPOCHS * epoch / epochs)
             for k, g in _gradients(model, batch, y[some]).items():
                 mean[k] = 0.9 * mean[k] + 0.1 * g
                 square[k] = 0.99 * square[k] + 0.01 * g * g
