@@ -6,12 +6,18 @@
 2. Documents are sorted by the least hash of their set, which puts similar ones side by side.
    Identical sets collapse to one representative. Within a run of equal least hashes each
    representative is compared with the run's first members and joins the first one that it
-   links to: a group of linked documents. The matrix holds, for each token of a group's union
+   links to: a group of linked documents. Groups that share another least hash are brought
+   together by comparing one or two members of each with the first document that has it. The
+   matrix holds, for each token of a group's union
    that any link to a member must go through, a cell with bounds of its members' sizes and of
    the tokens they have after it.
 3. Documents query the matrix with the tokens that any link must go through. A cell whose
    bounds allow the needed overlap makes its group qualify. Queries of documents that already
-   belong to the group are left out, so that copies of one text cost no pairs.
+   belong to the group are left out, so that copies of one text cost no pairs. Frequent
+   tokens carry more, to tell near misses apart: a token that comes after the same token in
+   the query and in all the cell's members is not the first one in common and is left out;
+   and sets differ at least by the number of places in which their bitmaps differ, which
+   bounds the overlap with a group of one member.
 4. Qualifying groups are opened in two steps: first one promising pair for each two groups,
    since a link makes one group of them, then every pair whose groups are still apart. Each
    pair is verified on the whole sets. Components follow from the links.
@@ -29,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctmart.llm.common import give_back, keep_rows, slices, text_key, write_table
@@ -41,10 +47,15 @@ SKETCH_BITS = 21
 _BLOCK = 1 << 12
 #: First members of a run that later ones are compared with. Links it misses are found later.
 LEADERS = 32
+#: Bits of a set's bitmap; a token is frequent from FREQUENT times the mean count on.
+BITS, FREQUENT = 1024, 3
+#: Further least hashes by which groups that came apart are brought together.
+SIGNS = 3
 #: Word hashes that a task keeps; it starts anew beyond them.
 _CACHED = 100_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_SIGN_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, SIGNS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class _WordHashes(dict):
@@ -92,6 +103,13 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def bitmap(tokens: np.ndarray) -> list[int]:
+    """For each of BITS places whether an odd number of the set's tokens fall on it."""
+    places = ((tokens * _M1) >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(places, minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def query_length(n: int, percent: int = PERCENT) -> int:
     """Tokens of a set of ``n`` that it queries the matrix with."""
     return n - -(-percent * n // 100) + 1
@@ -110,7 +128,7 @@ def _features(width: int):
         compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             for part in slices(batch, "text"):
-                packed, sizes, prints, least = [], [], [], []
+                packed, sizes, prints, least, signs = [], [], [], [], []
                 for text in part.column("text").to_pylist():
                     tokens = shingle_set(text, width)
                     np.add.at(counts, (tokens & np.uint64(len(counts) - 1)).astype(np.int64), 1)
@@ -118,6 +136,7 @@ def _features(width: int):
                     sizes.append(len(tokens))
                     prints.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                     least.append(int((tokens * _M2).min()) - (1 << 63) if len(tokens) else 0)
+                    signs.append([int((tokens * f).min()) - (1 << 63) for f in _SIGN_FACTORS if len(tokens)])
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -128,6 +147,7 @@ def _features(width: int):
                         pa.array(sizes, pa.int64()),
                         pa.array(prints, pa.binary()),
                         pa.array(least, pa.int64()),
+                        pa.array(signs, pa.list_(pa.int64())),
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.binary()),
                     ],
@@ -139,7 +159,7 @@ def _features(width: int):
         longs, data = pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())
         small = [counts[i * _BLOCK : (i + 1) * _BLOCK].astype("<i4").tobytes() for i in blocks]
         yield pa.RecordBatch.from_arrays(
-            [longs, longs, longs, data, longs, data, longs, pa.array(blocks, pa.int32()), pa.array(small, pa.binary())],
+            [longs, longs, longs, data, longs, data, longs, pa.nulls(n, pa.list_(pa.int64())), pa.array(blocks, pa.int32()), pa.array(small, pa.binary())],
             _FEATURE_NAMES,
         )
 
@@ -148,9 +168,9 @@ def _features(width: int):
 
 _FEATURES = (
     "row long, doc_id long, key long, packed binary, n long, print binary, least long, "
-    "block int, counts binary"
+    "signs array<long>, block int, counts binary"
 )
-_FEATURE_NAMES = ["row", "doc_id", "key", "packed", "n", "print", "least", "block", "counts"]
+_FEATURE_NAMES = ["row", "doc_id", "key", "packed", "n", "print", "least", "signs", "block", "counts"]
 
 
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,14 +196,17 @@ def shingle_counts(features: DataFrame) -> np.ndarray:
 
 
 _GROUPS = (
-    "row long, doc_id long, key long, n long, print binary, member_of long, tokens array<long>, "
+    "row long, doc_id long, key long, n long, print binary, member_of long, "
+    "frequent_from int, signs array<long>, bits array<long>, "
+    "tokens array<long>, "
     "cell_tokens array<long>, cell_least array<long>, cell_most array<long>, cell_after array<long>, "
-    "cell_row array<long>"
+    "cell_row array<long>, cell_before array<long>"
 )
 _LONGS = pa.list_(pa.int64())
 _GROUP_SCHEMA = pa.schema(
     [("row", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("member_of", pa.int64())]
-    + [(c, _LONGS) for c in ("tokens", "cell_tokens", "cell_least", "cell_most", "cell_after", "cell_row")]
+    + [("frequent_from", pa.int32())]
+    + [(c, _LONGS) for c in ("signs", "bits", "tokens", "cell_tokens", "cell_least", "cell_most", "cell_after", "cell_row", "cell_before")]
 )
 
 
@@ -193,6 +216,8 @@ class _Run:
     def __init__(self) -> None:
         self.leaders: list[tuple[int, np.ndarray]] = []
         self.cells: dict[int, dict[int, list[int]]] = {}
+        #: Of groups of one member its bitmap and the place of its first frequent token.
+        self.single: dict[int, dict] = {}
 
     def group(self, row: int, tokens: np.ndarray, percent: int) -> int:
         for leader, other in self.leaders:
@@ -202,24 +227,32 @@ class _Run:
             self.leaders.append((row, tokens))
         return row
 
-    def add(self, group: int, row: int, n: int, indexed: list[int]) -> None:
+    def add(self, group: int, row: int, n: int, indexed: list[int], more: dict) -> None:
+        if group in self.cells:
+            self.single.pop(group, None)
+        else:
+            self.single[group] = more
         cells = self.cells.setdefault(group, {})
         for place, token in enumerate(indexed):
             after = n - place - 1
+            before = indexed[place - 1] if place and place >= more["frequent_from"] else None
             cell = cells.get(token)
             if cell is None:
-                cells[token] = [n, n, after, row]
+                cells[token] = [n, n, after, row, before]
             else:
                 cell[0], cell[1] = min(cell[0], n), max(cell[1], n)
                 if after > cell[2]:
-                    cell[2:] = [after, row]
+                    cell[2:4] = [after, row]
+                if before != cell[4]:
+                    cell[4] = None  # the members do not agree
 
     def rows(self) -> list[dict]:
         return [
             {"member_of": group, "cell_tokens": list(cells)}
+            | self.single.get(group, {})
             | {
                 name: [c[i] for c in cells.values()]
-                for i, name in enumerate(("cell_least", "cell_most", "cell_after", "cell_row"))
+                for i, name in enumerate(("cell_least", "cell_most", "cell_after", "cell_row", "cell_before"))
             }
             for group, cells in self.cells.items()
         ]
@@ -230,6 +263,7 @@ def _group_rows(shared, width: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
+        frequent = FREQUENT * table.mean() + 8
         unpack = zstandard.ZstdDecompressor().decompress
         run, least, last_print, group, out = _Run(), None, None, None, []
         for batch in batches:
@@ -246,8 +280,9 @@ def _group_rows(shared, width: int, percent: int):
                     counts = table[(tokens & np.uint64(len(table) - 1)).astype(np.int64)]
                     head = np.lexsort((tokens, counts))[: query_length(n, percent)]
                     ordered = tokens[head].view(np.int64).tolist()
-                    run.add(group, r["row"], n, ordered[: index_length(n, percent)])
-                    doc["tokens"] = ordered
+                    more = {"frequent_from": int((counts[head] < frequent).sum()), "bits": bitmap(tokens)}
+                    run.add(group, r["row"], n, ordered[: index_length(n, percent)], more)
+                    doc |= {"tokens": ordered, "signs": [least, *r["signs"]]} | more
                 out.append(doc | {"member_of": group})
             if len(out) > 500:
                 yield pa.RecordBatch.from_pylist(out, _GROUP_SCHEMA)
@@ -323,7 +358,7 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(), F.coalesce("text", F.lit("")).alias("text"))
     features, _ = write_table(rows.mapInArrow(_features(width), _FEATURES), "features")
     counts = shingle_counts(features)
-    texts = features.where("n > 0").select("row", "doc_id", "key", "packed", "n", "print", "least")
+    texts = features.where("n > 0").select("row", "doc_id", "key", "packed", "n", "print", "least", "signs")
     by_least = ["least", "print", "row"]
     stored, _ = write_table(
         texts.repartitionByRange(*by_least)
@@ -342,6 +377,99 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     return done.union(alone)
 
 
+def _links_of(pairs: DataFrame, packed: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of pairs a, b of rows those that link, as links a, b of their groups."""
+    pairs, _ = write_table(pairs, "pairs")
+    packed_a, packed_b = (packed.withColumnRenamed("packed", f"packed_{x}") for x in "ab")
+    left = splittable_join(pairs.select("a", "b").distinct(), packed_a, ["a"], right_on=["row"])
+    both = splittable_join(left, packed_b, ["b"], right_on=["row"])
+    found = both.mapInArrow(_verify(width, percent), "a long, b long").withColumnsRenamed({"a": "_a", "b": "_b"})
+    same = (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))
+    kept = pairs.join(found, same).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
+    return write_table(kept, "links")[0]
+
+
+def _shared_signs(first: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of rows by which groups that share a least hash may link: a few for each group.
+
+    Of each group with the hash two members are compared with the first row that has it.
+    """
+    rows = _labelled(first, "member_of", labels, "group").select("row", "group", F.posexplode("signs").alias("kind", "sign"))
+    hash_ = ["kind", "sign"]
+    hubs = (
+        rows.groupBy(*hash_)
+        .agg(F.min(F.struct("row", "group")).alias("hub"), F.min("group").alias("least"), F.max("group").alias("most"))
+        .where("least <> most")
+        .select(*hash_, F.col("hub.row").alias("b"), F.col("hub.group").alias("group_b"))
+    )
+    ends = rows.groupBy(*hash_, "group").agg(F.min("row").alias("low"), F.max("row").alias("high"))
+    return (
+        splittable_join(ends.withColumnRenamed("group", "group_a"), hubs, hash_)
+        .where("group_a <> group_b")
+        .select(F.explode(F.array("low", "high")).alias("a"), "b", "group_a", "group_b")
+        .distinct()
+    )
+
+
+def _matrix(stored: DataFrame, labels: DataFrame) -> DataFrame:
+    """token, group_b, least, most, after_b, b, before_b, bits_b: the token-group matrix's cells.
+
+    Cells that groups brought together have for the same token become one.
+    """
+    names = ["cell_tokens", "cell_least", "cell_most", "cell_after", "cell_row", "cell_before"]
+    groups = splittable_join(
+        stored.where("cell_tokens IS NOT NULL").select("member_of", "bits", "frequent_from", *names), labels, ["member_of"], "left", right_on=["node"]
+    )
+
+    def cells(of: DataFrame, group: str) -> DataFrame:
+        one = of.select(
+            F.col(group).alias("group_b"),
+            "bits",
+            "frequent_from",
+            F.posexplode(F.arrays_zip(*names)).alias("place", "cell"),
+        )
+        return one.select(
+            F.col("cell.cell_tokens").alias("token"),
+            "group_b",
+            F.col("cell.cell_least").alias("least"),
+            F.col("cell.cell_most").alias("most"),
+            F.col("cell.cell_after").alias("after_b"),
+            F.col("cell.cell_row").alias("b"),
+            F.col("cell.cell_before").alias("before_b"),
+            F.when(F.col("place") >= F.col("frequent_from"), F.col("bits")).alias("bits_b"),
+        )
+
+    together = cells(groups.where("label IS NOT NULL"), "label").groupBy("token", "group_b").agg(
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+        F.max(F.struct("after_b", "b")).alias("after"),
+        F.when(
+            (F.count("before_b") == F.count("*")) & (F.min("before_b") == F.max("before_b")), F.min("before_b")
+        ).alias("before_b"),
+    )
+    together = together.select(
+        "token", "group_b", "least", "most", "after.after_b", "after.b", "before_b",
+        F.lit(None).cast("array<long>").alias("bits_b"),
+    )
+    return cells(groups.where("label IS NULL"), "member_of").union(together)
+
+
+def _places(tokens: Column | str) -> Column:
+    """A row for each token: its place, the token itself and the one before it."""
+    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
+    place = lambda token, i: F.struct(i.alias("place"), token.alias("token"))
+    before = F.concat(F.array(F.lit(None).cast("long")), tokens)
+    return F.explode(F.arrays_zip(F.transform(tokens, place).alias("at"), F.slice(before, 1, F.size(tokens)).alias("before")))
+
+
+def _place(side: str) -> list[Column]:
+    return [
+        F.col("token.at.place").alias(f"place_{side}"),
+        F.col("token.at.token").alias("token"),
+        F.when(F.col("token.at.place") >= F.col("frequent_from"), F.col("token.before")).alias(f"before_{side}"),
+    ]
+
+
 def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """node, label: components of the groups that links join. Groups not in it stand alone."""
     first = stored.where("tokens IS NOT NULL")
@@ -354,65 +482,55 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
         .where("a <> b")
     )
     links, _ = write_table(same, "links")
+    pairs, _ = write_table(_shared_signs(first, components(links)), "pairs")
+    needed = pairs.select("a").union(pairs.select("b")).distinct()
+    texts = texts.select("row", "packed")
+    links = links.union(_links_of(pairs, splittable_join(texts, needed, ["row"], "left_semi", right_on=["a"]), width, percent))
     labels = components(links)
 
+    # From here on the groups are those brought together so far.
     whole = 100 + percent
-    queries = first.select(
+    grouped = _labelled(first.select("row", "n", "member_of", "tokens", "bits", "frequent_from"), "member_of", labels, "group")
+    queries = grouped.withColumn("token", _places("tokens")).select(
         F.col("row").alias("a"),
         F.col("n").alias("n_a"),
-        F.col("member_of").alias("group_a"),
-        F.posexplode("tokens").alias("place_a", "token"),
-    )
-    cells = stored.where("cell_tokens IS NOT NULL").select(
-        F.col("member_of").alias("group_b"),
-        F.explode(
-            F.arrays_zip("cell_tokens", "cell_least", "cell_most", "cell_after", "cell_row")
-        ).alias("cell"),
-    ).select(
-        F.col("group_b"),
-        F.col("cell.cell_tokens").alias("token"),
-        F.col("cell.cell_least").alias("least"),
-        F.col("cell.cell_most").alias("most"),
-        F.col("cell.cell_after").alias("after_b"),
-        F.col("cell.cell_row").alias("b"),
+        F.nullif("group", "row").alias("group_a"),  # null, which takes no space, for most
+        *_place("a"),
+        F.when(F.col("token.at.place") >= F.col("frequent_from"), F.col("bits")).alias("bits_a"),
     )
+    cells = _matrix(stored, labels)
     # Whether a member as large as the bounds allow could still have the overlap that a link
     # with the query needs, the cell's token being the first in common.
+    first_in_common = F.coalesce(F.col("before_a") != F.col("before_b"), F.lit(True))
     n_b = F.greatest("least", F.ceil(F.col("n_a") * percent / 100))
     reach = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("after_b"))
+    differ = F.aggregate(
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x
+    )
+    both_n = F.col("n_a") + F.col("least")  # bitmaps are of groups of one member, of that size
+    alike = F.coalesce(whole * (both_n - differ) >= 2 * percent * both_n, F.lit(True))
     qualifying, _ = write_table(
         splittable_join(queries, cells.withColumnRenamed("token", "cell_token"), ["token"], right_on=["cell_token"])
+        .withColumn("group_a", F.coalesce("group_a", "a"))
         .where(F.col("group_a") != F.col("group_b"))
+        .where(first_in_common)
         .where((100 * F.col("most") >= percent * F.col("n_a")) & (F.col("least") <= F.col("n_a")))
-        .where(whole * reach >= percent * (F.col("n_a") + n_b)),
+        .where(whole * reach >= percent * (F.col("n_a") + n_b))
+        .where(alike)
+        .drop("bits_a", "bits_b"),
         "qualifying",
     )
     if qualifying.isEmpty():
         return labels
     # Texts that may have to be compared: the queries, and members of the groups they open.
     opened = qualifying.select("token", "group_b").distinct()
-    indexed = first.select(
-        F.col("row").alias("b"),
-        F.col("n").alias("n_b"),
-        F.col("member_of").alias("group_b"),
-        F.posexplode(
-            F.slice("tokens", 1, (F.col("n") - F.ceil(2 * percent * F.col("n") / whole) + 1).cast("int"))
-        ).alias("place_b", "token"),
+    index_tokens = F.slice("tokens", 1, (F.col("n") - F.ceil(2 * percent * F.col("n") / whole) + 1).cast("int"))
+    indexed = grouped.withColumn("token", _places(index_tokens)).select(
+        F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"), *_place("b")
     )
     members, _ = write_table(splittable_join(indexed, opened, ["token", "group_b"], "left_semi"), "members")
     needed = qualifying.select("a").union(members.select("b")).distinct()
-    packed, _ = write_table(
-        splittable_join(texts.select("row", "packed"), needed, ["row"], "left_semi", right_on=["a"]), "packed"
-    )
-
-    def links_of(pairs: DataFrame) -> DataFrame:
-        """Of the pairs a, b those that link, as links of their groups."""
-        pairs, _ = write_table(pairs, "pairs")
-        left = splittable_join(pairs.select("a", "b").distinct(), packed.withColumnRenamed("packed", "packed_a"), ["a"], right_on=["row"])
-        both = splittable_join(left, packed.withColumnRenamed("packed", "packed_b"), ["b"], right_on=["row"])
-        found = both.mapInArrow(_verify(width, percent), "a long, b long").withColumnsRenamed({"a": "_a", "b": "_b"})
-        same = (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))
-        return pairs.join(found, same).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
+    packed, _ = write_table(splittable_join(texts, needed, ["row"], "left_semi", right_on=["a"]), "packed")
 
     def apart(df: DataFrame) -> DataFrame:
         both = _labelled(_labelled(df, "group_a", labels, "label_a"), "group_b", labels, "label_b")
@@ -428,13 +546,13 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
             .agg(F.max(F.struct("rank", "a", "b", "group_a", "group_b")).alias("best"))
             .select("best.a", "best.b", "best.group_a", "best.group_b")
         )
-        more, _ = write_table(links_of(promising), "links")
+        more = _links_of(promising, packed, width, percent)
         if more.isEmpty():
             break
         links = links.union(more)
         labels = components(links)
     # Every pair whose groups are still apart.
-    still = apart(qualifying).select("token", "a", "n_a", "place_a", "group_a", "group_b").withColumnsRenamed(
+    still = apart(qualifying).select("token", "a", "n_a", "place_a", "before_a", "group_a", "group_b").withColumnsRenamed(
         {"token": "_token", "group_b": "_group"}
     )
     reach = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
@@ -442,10 +560,11 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
         splittable_join(members, still, ["token", "group_b"], right_on=["_token", "_group"])
         .where((F.col("n_b") <= F.col("n_a")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
         .where(whole * reach >= percent * (F.col("n_a") + F.col("n_b")))
+        .where(first_in_common)
         .select("a", "b", "group_a", "group_b")
         .distinct()
     )
-    more, _ = write_table(links_of(pairs), "links")
+    more = _links_of(pairs, packed, width, percent)
     return labels if more.isEmpty() else components(links.union(more))
 
 
