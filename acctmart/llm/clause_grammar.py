@@ -167,7 +167,13 @@ class Lexicon:
 
 
 def common_lexicon() -> dict[str, int]:
-    classes = ((INSULTS, INSULT), (THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT))
+    classes = (
+        (INSULTS, INSULT),
+        (THREATS, THREAT),
+        (TARGETS, TARGET),
+        (NEGATIONS, NEGATION),
+        (REPORTS, REPORT),
+    )
     return {w: kind for words, kind in reversed(classes) for w in words.split()}
 
 
@@ -186,7 +192,8 @@ def learn_lexicon(samples: list[tuple[str, int]]) -> Lexicon:
     n = Counter(label for _, label in once)
     frequency = {0: Counter(), 1: Counter()}
     for words, label in once:
-        units = {("word", w) for w in words} | {("stem", w[:k]) for w in words for k in STEM_LENGTHS if len(w) >= k}
+        units = {("word", w) for w in words}
+        units |= {("stem", w[:k]) for w in words for k in STEM_LENGTHS if len(w) >= k}
         frequency[label].update(units)
     lexicon, stems = common_lexicon(), set()
     for (kind, unit), count in frequency[1].items():

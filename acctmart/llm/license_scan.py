@@ -113,7 +113,8 @@ def document_frequency(docs: DataFrame, number: dict[bytes, int]) -> np.ndarray:
                 total[0] += len(counts)
         yield pa.RecordBatch.from_pydict({"word": np.arange(len(total)), "n": total})
 
-    rows = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(count, "word long, n long")
+    rows = counted.groupBy("word").agg(F.sum("n").alias("n"))
     frequency = np.zeros(len(number) + 1, np.int64)
     for row in rows.collect():  # a row for each template word
         frequency[row["word"]] = row["n"]

@@ -61,7 +61,8 @@ def piece_model(tokens: list[bytes]) -> bytes:
         piece = token.decode("latin-1").translate(_TO_CHARS).encode()
         out.append(_field(1, _field(1, piece) + _field(2, float(-rank)) + _field(3, normal)))
     out.append(_field(1, _field(1, b"<unk>") + _field(2, 0.0) + _field(3, unknown)))
-    trainer = {3: bpe, 4: len(tokens) + 1, 40: len(tokens), 41: (1 << 64) - 1, 42: (1 << 64) - 1, 43: (1 << 64) - 1}
+    absent = (1 << 64) - 1  # -1: no piece for begin, end and padding
+    trainer = {3: bpe, 4: len(tokens) + 1, 40: len(tokens), 41: absent, 42: absent, 43: absent}
     out.append(_field(2, b"".join(_field(k, v) for k, v in trainer.items())))
     # Identity: no dummy prefix, white space neither removed nor escaped.
     out.append(_field(3, _field(1, b"identity") + _field(3, 0) + _field(4, 0) + _field(5, 0)))

@@ -277,8 +277,8 @@ def contamination(
     A word is hit inside any occurrence of a window of an item: ``window`` consecutive words,
     or a shorter item as a whole. A document with a hit is contaminated if at least one in
     ``share`` of its words is hit. Null texts and items have no words; items without words
-    are never found; items of the same id count once, and those of a null id only hit words. The index is written to
-    ``path``. A benchmark over ``BLOCK_BYTES`` is searched in blocks, whose spans are joined.
+    are never found; items of the same id count once, and those of a null id only hit words.
+    The index is written to ``path``. A benchmark over ``BLOCK_BYTES`` is searched in blocks, whose spans are joined.
     """
     spark = docs.sparkSession
     write_index(docs, path)

@@ -55,7 +55,7 @@ SIGNS = 3
 _CACHED = 100_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_SIGN_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, SIGNS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SIGN_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, SIGNS, dtype=np.uint64) | np.uint64(1)
 
 
 class _WordHashes(dict):
@@ -135,8 +135,9 @@ def _features(width: int):
                     packed.append(compress(text.encode()) if len(tokens) else None)
                     sizes.append(len(tokens))
                     prints.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                    least.append(int((tokens * _M2).min()) - (1 << 63) if len(tokens) else 0)
-                    signs.append([int((tokens * f).min()) - (1 << 63) for f in _SIGN_FACTORS if len(tokens)])
+                    lows = [int((tokens * f).min()) - (1 << 63) for f in (_M2, *_SIGN_FACTORS) if len(tokens)]
+                    least.append(lows[0] if lows else 0)
+                    signs.append(lows[1:])
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -156,11 +157,11 @@ def _features(width: int):
         give_back(_HASHES)
         blocks = [i for i in range(len(counts) // _BLOCK) if counts[i * _BLOCK : (i + 1) * _BLOCK].any()]
         n = len(blocks)
-        longs, data = pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())
+        longs, data, lists = (pa.nulls(n, t) for t in (pa.int64(), pa.binary(), pa.list_(pa.int64())))
         small = [counts[i * _BLOCK : (i + 1) * _BLOCK].astype("<i4").tobytes() for i in blocks]
+        own = [pa.array(blocks, pa.int32()), pa.array(small, pa.binary())]
         yield pa.RecordBatch.from_arrays(
-            [longs, longs, longs, data, longs, data, longs, pa.nulls(n, pa.list_(pa.int64())), pa.array(blocks, pa.int32()), pa.array(small, pa.binary())],
-            _FEATURE_NAMES,
+            [longs, longs, longs, data, longs, data, longs, lists, *own], _FEATURE_NAMES
         )
 
     return run
@@ -203,10 +204,11 @@ _GROUPS = (
     "cell_row array<long>, cell_before array<long>"
 )
 _LONGS = pa.list_(pa.int64())
+_CELL = ("cell_least", "cell_most", "cell_after", "cell_row", "cell_before")
 _GROUP_SCHEMA = pa.schema(
-    [("row", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("member_of", pa.int64())]
-    + [("frequent_from", pa.int32())]
-    + [(c, _LONGS) for c in ("signs", "bits", "tokens", "cell_tokens", "cell_least", "cell_most", "cell_after", "cell_row", "cell_before")]
+    [(c, pa.int64()) for c in ("row", "doc_id", "key", "n")]
+    + [("print", pa.binary()), ("member_of", pa.int64()), ("frequent_from", pa.int32())]
+    + [(c, _LONGS) for c in ("signs", "bits", "tokens", "cell_tokens", *_CELL)]
 )
 
 
@@ -250,10 +252,7 @@ class _Run:
         return [
             {"member_of": group, "cell_tokens": list(cells)}
             | self.single.get(group, {})
-            | {
-                name: [c[i] for c in cells.values()]
-                for i, name in enumerate(("cell_least", "cell_most", "cell_after", "cell_row", "cell_before"))
-            }
+            | {name: [c[i] for c in cells.values()] for i, name in enumerate(_CELL)}
             for group, cells in self.cells.items()
         ]
 
@@ -280,7 +279,8 @@ def _group_rows(shared, width: int, percent: int):
                     counts = table[(tokens & np.uint64(len(table) - 1)).astype(np.int64)]
                     head = np.lexsort((tokens, counts))[: query_length(n, percent)]
                     ordered = tokens[head].view(np.int64).tolist()
-                    more = {"frequent_from": int((counts[head] < frequent).sum()), "bits": bitmap(tokens)}
+                    rare = int((counts[head] < frequent).sum())
+                    more = {"frequent_from": rare, "bits": bitmap(tokens)}
                     run.add(group, r["row"], n, ordered[: index_length(n, percent)], more)
                     doc |= {"tokens": ordered, "signs": [least, *r["signs"]]} | more
                 out.append(doc | {"member_of": group})
@@ -301,14 +301,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
     both, _ = write_table(edges.union(edges.select("b", "a")).distinct(), "edges")
-    labels, _ = write_table(
-        both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")),
-        "labels",
-    )
+    lowest = both.groupBy("a").agg(F.min("b").alias("b"))
+    lowest = lowest.select(F.col("a").alias("node"), F.least("a", "b").alias("label"))
+    labels, _ = write_table(lowest, "labels")
     while not labels.isEmpty():
-        near = (
-            splittable_join(both, labels, ["b"], right_on=["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        )
+        near = splittable_join(both, labels, ["b"], right_on=["node"])
+        near = near.groupBy("a").agg(F.min("label").alias("near"))
         spread = splittable_join(labels, near, ["node"], right_on=["a"]).select(
             "node", F.col("label").alias("before"), F.least("label", "near").alias("label")
         )
@@ -327,8 +325,8 @@ def _verify(width: int, percent: int):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             kept, last, tokens = [], None, None
-            packed_a, packed_b = batch.column("packed_a").to_pylist(), batch.column("packed_b").to_pylist()
-            for i, (x, y) in enumerate(zip(packed_a, packed_b)):
+            packed = (batch.column(c).to_pylist() for c in ("packed_a", "packed_b"))
+            for i, (x, y) in enumerate(zip(*packed)):
                 if x != last:
                     last, tokens = x, shingle_set(unpack(x).decode(), width)
                 if linked(tokens, shingle_set(unpack(y).decode(), width), percent):
@@ -348,14 +346,15 @@ def _labelled(df: DataFrame, group: str, labels: DataFrame, name: str) -> DataFr
 def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, key: one row per row of ``docs``.
 
-    ``key`` is a hash of the text, which with doc_id finds the row again. Words are separated by ASCII white space, A-Z counts as a-z. Two documents link when
-    100 * common shingles >= ``percent`` * shingles of either. ``component_id`` is the
+    ``key`` is a hash of the text, which with doc_id finds the row again. Words are separated
+    by ASCII white space, A-Z counts as a-z. Two documents link when 100 * common shingles >= ``percent`` * shingles of either. ``component_id`` is the
     smallest doc_id reachable by links, itself included, null ids being left out where there
     are others. A null text, or one without words, has no shingles and links with nothing;
     repeated rows link with each other. Other columns are ignored.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit("")).alias("text")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(), text)
     features, _ = write_table(rows.mapInArrow(_features(width), _FEATURES), "features")
     counts = shingle_counts(features)
     texts = features.where("n > 0").select("row", "doc_id", "key", "packed", "n", "print", "least", "signs")
@@ -373,7 +372,9 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     done = splittable_join(labelled, smallest, ["component"]).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", "key"
     )
-    alone = features.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key")
+    alone = features.where("n = 0").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key"
+    )
     return done.union(alone)
 
 
@@ -383,7 +384,8 @@ def _links_of(pairs: DataFrame, packed: DataFrame, width: int, percent: int) ->
     packed_a, packed_b = (packed.withColumnRenamed("packed", f"packed_{x}") for x in "ab")
     left = splittable_join(pairs.select("a", "b").distinct(), packed_a, ["a"], right_on=["row"])
     both = splittable_join(left, packed_b, ["b"], right_on=["row"])
-    found = both.mapInArrow(_verify(width, percent), "a long, b long").withColumnsRenamed({"a": "_a", "b": "_b"})
+    found = both.mapInArrow(_verify(width, percent), "a long, b long")
+    found = found.withColumnsRenamed({"a": "_a", "b": "_b"})
     same = (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))
     kept = pairs.join(found, same).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
     return write_table(kept, "links")[0]
@@ -394,11 +396,16 @@ def _shared_signs(first: DataFrame, labels: DataFrame) -> DataFrame:
 
     Of each group with the hash two members are compared with the first row that has it.
     """
-    rows = _labelled(first, "member_of", labels, "group").select("row", "group", F.posexplode("signs").alias("kind", "sign"))
+    rows = _labelled(first.select("row", "member_of", "signs"), "member_of", labels, "group")
+    rows = rows.select("row", "group", F.posexplode("signs").alias("kind", "sign"))
     hash_ = ["kind", "sign"]
     hubs = (
         rows.groupBy(*hash_)
-        .agg(F.min(F.struct("row", "group")).alias("hub"), F.min("group").alias("least"), F.max("group").alias("most"))
+        .agg(
+            F.min(F.struct("row", "group")).alias("hub"),
+            F.min("group").alias("least"),
+            F.max("group").alias("most"),
+        )
         .where("least <> most")
         .select(*hash_, F.col("hub.row").alias("b"), F.col("hub.group").alias("group_b"))
     )
@@ -417,9 +424,8 @@ def _matrix(stored: DataFrame, labels: DataFrame) -> DataFrame:
     Cells that groups brought together have for the same token become one.
     """
     names = ["cell_tokens", "cell_least", "cell_most", "cell_after", "cell_row", "cell_before"]
-    groups = splittable_join(
-        stored.where("cell_tokens IS NOT NULL").select("member_of", "bits", "frequent_from", *names), labels, ["member_of"], "left", right_on=["node"]
-    )
+    groups = stored.where("cell_tokens IS NOT NULL").select("member_of", "bits", "frequent_from", *names)
+    groups = splittable_join(groups, labels, ["member_of"], "left", right_on=["node"])
 
     def cells(of: DataFrame, group: str) -> DataFrame:
         one = of.select(
@@ -444,7 +450,8 @@ def _matrix(stored: DataFrame, labels: DataFrame) -> DataFrame:
         F.max("most").alias("most"),
         F.max(F.struct("after_b", "b")).alias("after"),
         F.when(
-            (F.count("before_b") == F.count("*")) & (F.min("before_b") == F.max("before_b")), F.min("before_b")
+            (F.count("before_b") == F.count("*")) & (F.min("before_b") == F.max("before_b")),
+            F.min("before_b"),
         ).alias("before_b"),
     )
     together = together.select(
@@ -458,15 +465,17 @@ def _places(tokens: Column | str) -> Column:
     """A row for each token: its place, the token itself and the one before it."""
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
     place = lambda token, i: F.struct(i.alias("place"), token.alias("token"))
-    before = F.concat(F.array(F.lit(None).cast("long")), tokens)
-    return F.explode(F.arrays_zip(F.transform(tokens, place).alias("at"), F.slice(before, 1, F.size(tokens)).alias("before")))
+    before = F.slice(F.concat(F.array(F.lit(None).cast("long")), tokens), 1, F.size(tokens))
+    return F.explode(F.arrays_zip(F.transform(tokens, place).alias("at"), before.alias("before")))
 
 
 def _place(side: str) -> list[Column]:
+    """Columns of a row of ``_places``. Only a frequent token needs the one before it."""
+    frequent = F.col("token.at.place") >= F.col("frequent_from")
     return [
         F.col("token.at.place").alias(f"place_{side}"),
         F.col("token.at.token").alias("token"),
-        F.when(F.col("token.at.place") >= F.col("frequent_from"), F.col("token.before")).alias(f"before_{side}"),
+        F.when(frequent, F.col("token.before")).alias(f"before_{side}"),
     ]
 
 
@@ -485,12 +494,14 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
     pairs, _ = write_table(_shared_signs(first, components(links)), "pairs")
     needed = pairs.select("a").union(pairs.select("b")).distinct()
     texts = texts.select("row", "packed")
-    links = links.union(_links_of(pairs, splittable_join(texts, needed, ["row"], "left_semi", right_on=["a"]), width, percent))
+    packed = splittable_join(texts, needed, ["row"], "left_semi", right_on=["a"])
+    links = links.union(_links_of(pairs, packed, width, percent))
     labels = components(links)
 
     # From here on the groups are those brought together so far.
     whole = 100 + percent
-    grouped = _labelled(first.select("row", "n", "member_of", "tokens", "bits", "frequent_from"), "member_of", labels, "group")
+    documents = first.select("row", "n", "member_of", "tokens", "bits", "frequent_from")
+    grouped = _labelled(documents, "member_of", labels, "group")
     queries = grouped.withColumn("token", _places("tokens")).select(
         F.col("row").alias("a"),
         F.col("n").alias("n_a"),
@@ -504,13 +515,12 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
     first_in_common = F.coalesce(F.col("before_a") != F.col("before_b"), F.lit(True))
     n_b = F.greatest("least", F.ceil(F.col("n_a") * percent / 100))
     reach = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("after_b"))
-    differ = F.aggregate(
-        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x
-    )
+    differing = F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(differing, F.lit(0), lambda n, x: n + x)
     both_n = F.col("n_a") + F.col("least")  # bitmaps are of groups of one member, of that size
     alike = F.coalesce(whole * (both_n - differ) >= 2 * percent * both_n, F.lit(True))
     qualifying, _ = write_table(
-        splittable_join(queries, cells.withColumnRenamed("token", "cell_token"), ["token"], right_on=["cell_token"])
+        splittable_join(queries, cells, ["token"])
         .withColumn("group_a", F.coalesce("group_a", "a"))
         .where(F.col("group_a") != F.col("group_b"))
         .where(first_in_common)
@@ -524,7 +534,8 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
         return labels
     # Texts that may have to be compared: the queries, and members of the groups they open.
     opened = qualifying.select("token", "group_b").distinct()
-    index_tokens = F.slice("tokens", 1, (F.col("n") - F.ceil(2 * percent * F.col("n") / whole) + 1).cast("int"))
+    length = F.col("n") - F.ceil(2 * percent * F.col("n") / whole) + 1
+    index_tokens = F.slice("tokens", 1, length.cast("int"))
     indexed = grouped.withColumn("token", _places(index_tokens)).select(
         F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"), *_place("b")
     )
@@ -552,9 +563,8 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
         links = links.union(more)
         labels = components(links)
     # Every pair whose groups are still apart.
-    still = apart(qualifying).select("token", "a", "n_a", "place_a", "before_a", "group_a", "group_b").withColumnsRenamed(
-        {"token": "_token", "group_b": "_group"}
-    )
+    still = apart(qualifying).select("token", "a", "n_a", "place_a", "before_a", "group_a", "group_b")
+    still = still.withColumnsRenamed({"token": "_token", "group_b": "_group"})
     reach = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
     pairs = (
         splittable_join(members, still, ["token", "group_b"], right_on=["_token", "_group"])
@@ -577,5 +587,6 @@ def one_of_each_component(docs: DataFrame, width: int = SHINGLE, percent: int =
     found = jaccard_components(docs, width, percent)
     alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
     chosen = found.where(~alone & (F.col("doc_id") == F.col("component_id")))
-    kept = chosen.groupBy("doc_id").agg(F.min("key").alias("key")).union(found.where(alone).select("doc_id", "key"))
+    kept = chosen.groupBy("doc_id").agg(F.min("key").alias("key"))
+    kept = kept.union(found.where(alone).select("doc_id", "key"))
     return keep_rows(docs, kept, text_key())
