@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acctmart.session import ensure_checkpoint_dir
@@ -71,22 +71,26 @@ def sample_texts(
     """A bounded sample of training texts: at most ``per_label`` rows of each label.
 
     ``labelled`` has doc_id and the label; rows with a null label or id and held-out rows
-    are left out. The rows with the smallest hash of their id are taken, so the sample does
+    are left out, and of several labels of an id the least counts. The rows with the smallest hash of their id are taken, so the sample does
     not depend on the partitioning. The ids are chosen before any text is read, and texts
     over ``longest`` characters are not used for training.
     """
-    from pyspark.sql import Window
 
-    order = Window.partitionBy("label").orderBy("rank", "doc_id")
-    chosen = (
+    def least(df: DataFrame, *groups: str) -> DataFrame:
+        """The ``per_label`` rows of least rank in each group."""
+        order = Window.partitionBy(*groups).orderBy("rank", "doc_id")
+        return df.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label)
+
+    ranked = (
         labelled.select("doc_id", F.col(label).alias("label"))
         .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-        .select("doc_id", "label", F.xxhash64("doc_id", F.lit(7)).alias("rank"))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= per_label)
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
+        .select("doc_id", "label", F.xxhash64("doc_id", F.lit(7)).alias("rank"))
+        .withColumn("part", F.pmod("rank", F.lit(64)))
     )
+    # First in 64 parts of each label, so that no task gathers from all others.
+    chosen = least(least(ranked, "label", "part"), "label").select("doc_id", "label")
     rows = (
         documents.select("doc_id", "text")
         .where(F.col("text").isNotNull() & (F.length("text") <= longest))
