@@ -29,20 +29,43 @@ EPOCHS = 4
 PLACES = 1 << 16
 #: A word is in a language's lexicon from this many training documents on.
 LEXICON_DOCUMENTS = 3
+#: Letters of a word; longer tokens are cut into several words.
+LONGEST = 40
+#: Words that are scored at a time.
+_SCORED = 1 << 14
 _CACHED = 400_000
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def tokens_of(text: str) -> list[str]:
+    """White-space separated tokens; one of more than ``LONGEST`` letters as several.
+
+    Such a token is a sentence or more of a script without spaces, or glued text. Its parts
+    follow each other without a gap and have about as many letters each.
+    """
+    tokens = text.split()
+    if max(map(len, tokens), default=0) <= LONGEST:
+        return tokens
+    return [part for t in tokens for part in ((t,) if len(t) <= LONGEST else _parts(t))]
+
+
+def _parts(token: str) -> list[str]:
+    letters = [m.start() for m in _LETTER.finditer(token)]
+    n = -(-len(letters) // LONGEST)
+    cuts = [letters[len(letters) * i // n] for i in range(1, n)]
+    return [token[a:b] for a, b in zip([0, *cuts], [*cuts, len(token)])]
+
+
 def words_of(text: str) -> list[str]:
-    """White-space separated tokens that have a letter."""
-    return [t for t in text.split() if _LETTER.search(t)]
+    """The tokens that have a letter."""
+    return [t for t in tokens_of(text) if _LETTER.search(t)]
 
 
 def letters_of(token: str) -> str:
     """A token's letters in lower case: what its features are made of."""
-    return _NOT_LETTERS.sub("", token).lower()[:40]
+    return _NOT_LETTERS.sub("", token).lower()
 
 
 def word_features(words: list[str], lexicon: dict[str, tuple[int, ...]], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,8 +103,13 @@ def word_features(words: list[str], lexicon: dict[str, tuple[int, ...]], k: int)
 def word_scores(words: list[str], lexicon: dict, weights: np.ndarray) -> np.ndarray:
     """Each word's score for each language: the sum of its features' weights."""
     k = weights.shape[1]
-    places, owners = word_features(words, lexicon, k)
-    return np.stack([np.bincount(owners, weights[places, i], len(words)) for i in range(k)], axis=1)
+    found = np.empty((len(words), k))
+    for a in range(0, len(words), _SCORED):
+        part = words[a : a + _SCORED]
+        places, owners = word_features(part, lexicon, k)
+        for i in range(k):
+            found[a : a + len(part), i] = np.bincount(owners, weights[places, i], len(part))
+    return found
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, log_move: np.ndarray) -> np.ndarray:
@@ -165,7 +193,7 @@ class Model:
         if self.table is None or len(self.known) > _CACHED:
             self.known, self.used, self.waiting = {}, 0, []
             self.table = np.zeros((1 << 15, len(self.languages)), np.float32)
-        rows = [np.array(self.rows(t.split()), np.int64) for t in texts]
+        rows = [np.array(self.rows(tokens_of(t)), np.int64) for t in texts]
         self.score_waiting()
         rows = [r[r >= 0] for r in rows]
         lengths = np.array([len(r) for r in rows], np.int64)
@@ -289,7 +317,8 @@ def predict_language(docs: DataFrame) -> DataFrame:
 
     Learns from text and non-null lang of a bounded sample of rows that are not held out. A
     null text, or one without a letter, is ``und`` with score 0, as is every text if there is
-    nothing to learn from. Of equal shares the language that sorts first is taken. Repeated
+    nothing to learn from. A token of more than ``LONGEST`` letters counts as several words,
+    so that all its letters are read and weigh by their number. Of equal shares the language that sorts first is taken. Repeated
     rows are each predicted; lang is never used for a prediction, nor are other columns.
     """
     samples = sample_texts(docs, docs.select("doc_id", "lang"), "lang", TRAIN_PER_LANGUAGE)

@@ -89,6 +89,22 @@ def test_words_of_switched_text():
     assert model.move[0, 0] > model.move[0, 1] and model.move[1, 1] > model.move[1, 0]
 
 
+def test_long_unspaced_text_is_read_to_its_end():
+    english = "the cat sat on the mat and the dog was with them in this house"
+    spanish = "el gato se sienta en la casa y el perro está con ellos en esta calle"
+    glued = [(t.replace(" ", ""), lang) for t, lang in ((english, "en"), (spanish, "es"))]
+    model = crf_language.train([(english, "en"), (spanish, "es"), *glued] * 40)
+    text = glued[0][0] + glued[1][0] * 5
+    words = crf_language.words_of(text)
+    assert "".join(words) == text and all(len(w) <= crf_language.LONGEST for w in words)
+    labels = [lang for _, lang, _ in model.label_words(text)]
+    assert labels[0] == "en" and labels[-1] == "es" and labels.count("es") > labels.count("en")
+    assert model.predict([text, glued[0][0]])[0] == ["es", "en"]
+    marks = "1" * 50 + "-ab-" * 20 + "9" * 50
+    assert crf_language.words_of(marks) == [marks]
+    assert crf_language.tokens_of("") == [] and "".join(crf_language.words_of(marks * 3)) == marks * 3
+
+
 def test_forward_backward_against_all_paths():
     from itertools import product
 
