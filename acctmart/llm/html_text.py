@@ -61,6 +61,13 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>",
     re.S,
 )
+#: Foreign elements may end themselves; a tag of theirs, where comments, scripts and styles are stepped over.
+_FOREIGN = _WORDS("svg math")
+_FOREIGN_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\Z)"
+    r"|<(/?)(svg|math)(?=[\s/>])((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>",
+    re.S | re.I,
+)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _SPACE = re.compile(r"\s+")
 
@@ -98,10 +105,27 @@ def _is_left_out(name: str, source: str) -> bool:
     )
 
 
+def _foreign_ends(source: str) -> dict[int, int]:
+    """Where the elements svg and math end, by where their start tags end; unclosed ones have no end."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {name: [] for name in _FOREIGN}
+    for m in _FOREIGN_TAG.finditer(source):
+        if not m[3]:
+            continue
+        waiting = opened[m[3].lower()]
+        if not m[2]:
+            if not m[4].endswith("/"):
+                waiting.append(m.end())
+        elif waiting:
+            ends[waiting.pop()] = m.end()
+    return ends
+
+
 def parse(source: str) -> Element:
     """The tree of a page. Unclosed elements end as browsers end them, roughly."""
     root = Element("#root", None)
     here, at = root, 0
+    foreign_ends: dict[int, int] | None = None
     while True:
         m = _TOKEN.search(source, at)
         text = source[at : m.start() if m else len(source)]
@@ -120,7 +144,13 @@ def parse(source: str) -> Element:
         here = _make_room(here, name)
         element = Element(name, here, left_out=_is_left_out(name, attributes))
         here.children.append(element)
-        if name in RAW:
+        if name in _FOREIGN:
+            # One that ends itself or is never closed has no content to leave out.
+            if not attributes.endswith("/"):
+                if foreign_ends is None:
+                    foreign_ends = _foreign_ends(source)
+                at = foreign_ends.get(at, at)
+        elif name in RAW:
             # The content is not markup; it ends at the closing tag.
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
             at = end.end() if end else len(source)

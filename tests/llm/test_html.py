@@ -43,6 +43,18 @@ def test_nothing_and_odd_input():
     assert main_text(deep) == "deep, text"
 
 
+def test_icons_lose_nothing_after_them():
+    half = ARTICLE.index("<p>Paragraph 2")
+    icons = ["<svg class='icon'/>", "<math/>", "<svg class='icon'>", "<svg><svg/><text>no</text></svg>"]
+    icons += ["<svg><!-- <svg> --><script>'<svg>'</script><title>no</title></svg>", "<SVG><svg>no</svg>no</SVG>"]
+    for icon in icons:
+        for later in ("", "<p><svg><text>no</text></svg></p>", "<svg/>"):
+            for body in (icon + f"<article>{ARTICLE}</article>", f"<article>{ARTICLE[:half]}{icon}{ARTICLE[half:]}</article>"):
+                assert main_text(page(body + later)) == "\n\n".join(TEXTS), (icon, later)
+    many = main_text(page("<svg>" * 20_000 + f"<article>{ARTICLE}</article>"))
+    assert many == "\n\n".join(TEXTS)
+
+
 def test_rows(spark):
     rows = [(1, "u", page(ARTICLE), 5), (1, "u", page(ARTICLE), 5), (2, None, None, 5), (None, "v", "", 5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text long")
