@@ -4,7 +4,8 @@ Paragraphs pass points to their ancestors: for being one, for their commas and f
 length, in full to the parent, half to the grandparent and less further up. An element's
 points are discounted by the share of its text that is in links. The best container is kept
 with those siblings that look like parts of the same article. Elements whose name, class,
-id or role marks them as menu, notice, advert, form or reader comment are left out before.
+id or role marks them as menu, notice, advert, form or reader comment are left out before;
+by class or id alone only if the page's text is not in them.
 """
 
 from __future__ import annotations
@@ -45,14 +46,22 @@ _SIBLINGS = {
 #: Elements that siblings do not end from inside.
 _HOLDS = _WORDS("ul ol table dl body html article section div")
 PARAGRAPHS = _WORDS("p pre td blockquote li dd h1 h2 h3 h4 h5 h6")
-_MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|"
+_MARKS = (
+    r"(?:ad|ads|adv|advert[a-z]*|banner|sponsor[a-z]*|promo[a-z]*|nav[a-z]*|menu[a-z]*|breadcrumbs?|"
     r"sidebar|side|footer|masthead|cookies?|consent|gdpr|notice|alert|popup|modal|newsletter|"
-    r"subscri\w*|sign-?up|login|share|sharing|social|related|recommend\w*|comments?|commentlist|"
-    r"replies|reply|disqus|discussion|respond|pager|pagination|toolbar|widget|hidden|skip\w*|"
-    r"copyright|legal|disclaimer|paywall|teaser|outbrain|taboola)(?:$|[\s_-])",
+    r"subscri[a-z]*|sign-?up|login|share|sharing|social|related|recommend[a-z]*|comments?|commentlist|"
+    r"replies|reply|disqus|discussion|respond|pager|pagination|toolbar|widget|hidden|skip[a-z]*|"
+    r"copyright|legal|disclaimer|paywall|teaser|outbrain|taboola)"
+)
+#: A whole class or id made of marks only, with a place before or a form after them. Not a
+#: layout class with a mark somewhere in it, such as "overflow-hidden" or "with-sidebar".
+_MARKED = re.compile(
+    rf"(?:(?:site|page|main|post|entry|top|bottom|left|right)[_-])?{_MARKS}(?:[_-]{_MARKS})*"
+    r"(?:[_-](?:area|bar|box|buttons?|items?|left|links?|list|posts?|right|section|slot|\d+))*",
     re.I,
 )
+#: Of these, the marks of reader comments.
+_COMMENTS = re.compile(r"(?:^|[_-])(?:comments?|commentlist|replies|reply|disqus|discussion|respond)(?:$|[_-])", re.I)
 _ROLES = _WORDS("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Comments, declarations and tags. A tag whose quotes do not match ends at the next ">".
@@ -78,6 +87,8 @@ class Element:
     parent: Element | None
     children: list[Element | str] = field(default_factory=list)
     left_out: bool = False
+    #: By class or id alone: by comments' or other marks.
+    marked: str = ""
     points: float = 0.0
     text_length: int = 0
     link_length: int = 0
@@ -90,19 +101,23 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _is_left_out(name: str, source: str) -> bool:
+def _judge(name: str, source: str) -> tuple[bool, str]:
+    """Whether an element is left out in any case, and what its class or id marks it as."""
     if name in LEFT_OUT:
-        return True
+        return True, ""
     if not source or name in ("html", "body", "article", "main"):
-        return False
+        return False, ""
     a = _attributes(source)
-    return bool(
+    if (
         "hidden" in a
         or a.get("aria-hidden") == "true"
         or a.get("role", "").lower() in _ROLES
         or _HIDDEN.search(a.get("style", ""))
-        or any(_MARKED.search(a[k]) for k in ("class", "id") if a.get(k))
-    )
+    ):
+        return True, ""
+    names = f"{a.get('class', '')} {a.get('id', '')}".split()
+    marks = [n for n in names if _MARKED.fullmatch(n)]
+    return False, marks and ("comments" if any(map(_COMMENTS.search, marks)) else "other") or ""
 
 
 def _foreign_ends(source: str) -> dict[int, int]:
@@ -142,7 +157,8 @@ def parse(source: str) -> Element:
             continue
         attributes = m[3]
         here = _make_room(here, name)
-        element = Element(name, here, left_out=_is_left_out(name, attributes))
+        left_out, marked = _judge(name, attributes)
+        element = Element(name, here, left_out=left_out, marked=marked)
         here.children.append(element)
         if name in _FOREIGN:
             # One that ends itself or is never closed has no content to leave out.
@@ -231,13 +247,51 @@ def _own_text(e: Element) -> str:
     return _SPACE.sub(" ", "".join(out)).strip()
 
 
+def _own_points(e: Element) -> float:
+    if e.name not in PARAGRAPHS and e.name not in ("div", "section"):
+        return 0.0
+    text = _own_text(e)
+    if not text:
+        return 0.0
+    return (1 + text.count(",") + text.count("、") + min(len(text) / 100, 3)) * (1 - _link_density(e))
+
+
+def _leave_out_marked(root: Element) -> None:
+    """Leave out what a class or id marks, but not what the page's text is in.
+
+    A marked element stays if the article or main element of most points is in it, or most
+    points of the page; one marked as comments only if next to nothing is outside of it.
+    """
+    order = list(_walk(root))
+    if not any(e.marked for e in order):
+        return
+    _measure(root)
+    held: dict[int, float] = {}
+    in_comments: dict[int, bool] = {}
+    for e in order:
+        in_comments[id(e)] = e.marked == "comments" or (e.parent is not None and in_comments[id(e.parent)])
+    for e in reversed(order):
+        held[id(e)] = held.get(id(e), 0.0) + _own_points(e)
+        if e.parent is not None:
+            held[id(e.parent)] = held.get(id(e.parent), 0.0) + held[id(e)]
+    for e in order:
+        e.text_length = e.link_length = 0
+    total = held[id(root)]
+    articles = [e for e in order if e.name in ("article", "main") and held[id(e)] and not in_comments[id(e)]]
+    around: set[int] = set()
+    e = max(articles, key=lambda e: held[id(e)], default=None)
+    while e is not None:
+        around.add(id(e))
+        e = e.parent
+    for e in order:
+        if e.marked and id(e) not in around:
+            e.left_out = held[id(e)] <= total * (0.9 if e.marked == "comments" else 0.5)
+
+
 def _score(root: Element) -> None:
     for e in _walk(root):
-        if e.name in PARAGRAPHS or e.name in ("div", "section"):
-            text = _own_text(e)
-            if not text:
-                continue
-            points = (1 + text.count(",") + text.count("、") + min(len(text) / 100, 3)) * (1 - _link_density(e))
+        points = _own_points(e)
+        if points:
             if e.name not in PARAGRAPHS:
                 e.points += points  # text that stands in a container without a paragraph
                 continue
@@ -251,6 +305,7 @@ def _score(root: Element) -> None:
 
 def main_elements(root: Element) -> list[Element]:
     """The best container, with those siblings that belong to it, in page order."""
+    _leave_out_marked(root)
     _measure(root)
     _score(root)
     best, most = None, 0.0

@@ -55,6 +55,22 @@ def test_icons_lose_nothing_after_them():
     assert many == "\n\n".join(TEXTS)
 
 
+def test_wrappers_with_marks_in_their_classes():
+    text = "\n\n".join(TEXTS)
+    aside = "<div class='widget'><p>Read, also, this, and, that, too.</p></div>"
+    comments = "<div id='comments'>" + "<article class='comment'><p>I, too, say so, yes.</p></article>" * 3 + "</div>"
+    for wrapper in ("container overflow-hidden", "layout with-sidebar", "no-sidebar", "navy-theme", "widget", "legal", "hidden"):
+        for inside in (f"<article>{ARTICLE}</article>", f"<div>{ARTICLE}</div>"):
+            for rest in ("", aside, comments):
+                assert main_text(page(f"<div class='{wrapper}'>{inside}{rest}</div>")) == text, (wrapper, rest)
+                assert main_text(page(f"<div id='{wrapper}'><div class='side'>{inside}</div></div>{rest}")) == text
+    for mark in ("widget", "cookie-banner", "site-footer", "comments-area", "related_posts", "ad-1"):
+        assert main_text(page(f"<div>{ARTICLE}<div class='x {mark}'><p>A, b, c, d, e, f.</p></div></div>")) == text, mark
+    replies = "<p>Here, as ever, is what I think of it, at length, again.</p>" * 12
+    assert main_text(page(f"<div>{ARTICLE}</div><div class='comments'>{replies}</div>")) == text
+    assert main_text(page(f"<div class='discussion'>{ARTICLE}</div>")) == text
+
+
 def test_rows(spark):
     rows = [(1, "u", page(ARTICLE), 5), (1, "u", page(ARTICLE), 5), (2, None, None, 5), (None, "v", "", 5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text long")
