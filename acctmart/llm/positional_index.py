@@ -7,7 +7,8 @@ lie: nothing is shuffled, and a lost executor costs its own shards' work only.
 
 A phrase is found by its rarest term first: the term's places, less the term's offset in the
 phrase, are candidate starts, and are intersected with the offset-adjusted places of the
-other terms, from rare to frequent. Proximity matches start from the rarest term as well.
+other terms, from rare to frequent. Proximity matches take the shortest span of all terms
+around each place of a document's rarest term.
 """
 
 from __future__ import annotations
@@ -141,24 +142,52 @@ def phrase_starts(lists: Sequence[np.ndarray]) -> np.ndarray:
 
 
 def near_spans(shard: Shard, lists: Sequence[np.ndarray], slop: int) -> list[tuple[int, int]]:
-    """(first, last) of places around the rarest term where all terms stand within ``slop``.
+    """(first, last) of the places around each document's rarest term where all terms stand.
 
-    Of each other term the nearest place in the same document counts; order is free.
+    Of each place of that term, the shortest span that holds it and all other terms in the
+    same document, if its ends are less than ``slop`` apart; the earliest of equal ones. Order
+    is free. ``lists`` are the places of different terms; of equally rare ones the first counts.
     """
-    if not lists or not all(len(x) for x in lists):
+    if slop < 1 or not lists or not all(len(x) for x in lists):
         return []
-    order = sorted(range(len(lists)), key=lambda i: len(lists[i]))
-    anchor = lists[order[0]]
-    first, last = anchor.copy(), anchor.copy()
-    for i in order[1:]:
-        other = lists[i]
-        right = np.searchsorted(other, anchor)
-        before = other[np.maximum(right - 1, 0)]
-        after = other[np.minimum(right, len(other) - 1)]
-        nearest = np.where(np.abs(anchor - before) <= np.abs(after - anchor), before, after)
-        first, last = np.minimum(first, nearest), np.maximum(last, nearest)
-    fits = (last - first < slop) & (shard.documents(first) == shard.documents(last))
-    return list(zip(first[fits].tolist(), last[fits].tolist()))
+    slop = min(slop, shard.size)
+    docs = [shard.documents(x) for x in lists]
+    counts = np.stack([np.bincount(d, minlength=len(shard.first)) for d in docs])
+    rarest = np.where(counts.min(axis=0) > 0, counts.argmin(axis=0), -1)
+    anchors = np.sort(np.concatenate([x[rarest[d] == i] for i, (x, d) in enumerate(zip(lists, docs))]))
+    if not len(anchors):
+        return []
+    places = np.unique(np.concatenate([x[rarest[d] >= 0] for x, d in zip(lists, docs)]))
+    n = len(places)
+    # The least end of a span from each place that holds all terms: it never decreases.
+    last = places.copy()
+    for x in lists:
+        last = np.maximum(last, np.append(x, shard.size)[np.searchsorted(x, places)])
+    whole = (last < shard.size) & (shard.documents(last) == shard.documents(places))
+    widths = np.where(whole, np.minimum(last - places, slop), slop)
+
+    starts = np.maximum(shard.first[shard.documents(anchors)], anchors - slop + 1)
+    low, here = np.searchsorted(places, starts), np.searchsorted(places, anchors)
+    # Spans from places before ``done`` end at the anchor, the later the shorter; of the
+    # others up to the anchor the least is taken, from least values of 1, 2, 4 ... places.
+    done = np.searchsorted(last, anchors, "right")
+    before = np.maximum(done - 1, 0)
+    width_before = np.where(done > low, anchors - places[before], slop)
+    begin = np.maximum(low, done)
+    length = here - begin + 1
+    least = np.full(len(anchors), slop * n)
+    level, step = widths * n + np.arange(n), 1
+    while True:
+        now = (length >= step) & (length < 2 * step)
+        least[now] = np.minimum(level[begin[now]], level[here[now] - step + 1])
+        if 2 * step > length.max():
+            break
+        level, step = np.minimum(level[:-step], level[step:]), 2 * step
+    width_after, after = np.divmod(least, n)
+    first = places[np.where(width_before <= width_after, before, after)]
+    width = np.minimum(width_before, width_after)
+    fits = width < slop
+    return list(zip(first[fits].tolist(), (first + width)[fits].tolist()))
 
 
 def item_hits(shard: Shard, words: Sequence[bytes], window: int) -> tuple[np.ndarray, int]:
@@ -245,7 +274,10 @@ def _search(row: dict, items: Items, window: int) -> pa.RecordBatch:
 
 
 def near_matches(spark: SparkSession, path: str, items: Items, slop: int) -> DataFrame:
-    """doc_id, item_id, first, last: places where all words of an item stand within ``slop``."""
+    """doc_id, item_id, first, last: places where all words of an item stand within ``slop``.
+
+    One row per place of the word that is rarest in the document, as ``near_spans`` has it.
+    """
     shared = spark.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

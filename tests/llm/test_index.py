@@ -73,6 +73,53 @@ def test_phrases_and_close_terms(spark, documents, tmp_path):
     assert len(positional_index.near_matches(spark, str(tmp_path / "i"), items, slop=3).collect()) == 1
 
 
+def near_by_hand(texts, terms, slop):
+    """(text, first, last) of the shortest span around each place of a text's rarest term."""
+    out = []
+    for i, text in enumerate(texts):
+        words = text.split()
+        counts = [words.count(t) for t in terms]
+        if not all(counts):
+            continue
+        rarest = terms[counts.index(min(counts))]
+        for a in (k for k, w in enumerate(words) if w == rarest):
+            spans = [
+                (last - first, first)
+                for first in range(a + 1)
+                for last in range(a, len(words))
+                if last - first < slop and set(terms) <= set(words[first : last + 1])
+            ]
+            if spans:
+                width, first = min(spans)
+                out.append((i, first, first + width))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard", [500_000, 40, 1])
+def test_close_terms_against_all_spans(spark, documents, tmp_path, monkeypatch, shard):
+    monkeypatch.setattr(positional_index, "SHARD_WORDS", shard)
+    rng = random.Random(8)
+    texts = ["w w w w w w w b w w a w w b c", "b b c", "a", "c b a", ""]
+    texts += [" ".join(rng.choice("aabbbcdefgw") for _ in range(rng.randrange(0, 40))) for _ in range(60)]
+    docs = documents(*enumerate(texts)).coalesce(1)
+    positional_index.write_index(docs, str(tmp_path / "i"))
+    items = [(i, [w.encode() for w in t]) for i, t in enumerate(["abc", "a", "bb", "cba", "defg", "wb", "abcdefgw"])]
+    for slop in (1, 2, 5, 9, 1000):
+        got = {}
+        for d, i, a, b in map(tuple, positional_index.near_matches(spark, str(tmp_path / "i"), items, slop).collect()):
+            got.setdefault(i, []).append((d, a, b))
+        for i, words in items:
+            terms = [w.decode() for w in dict.fromkeys(words)]
+            assert sorted(got.get(i, [])) == near_by_hand(texts, terms, slop), (slop, terms)
+
+
+def test_farther_place_of_the_same_document():
+    shard = positional_index.Shard(b"", b"", b"", [20, 3])
+    np_list = lambda *x: positional_index.np.array(x)
+    assert positional_index.near_spans(shard, [np_list(10), np_list(7, 14), np_list(14)], 5) == [(10, 14)]
+    assert positional_index.near_spans(shard, [np_list(18), np_list(13, 21)], 6) == [(13, 18)]
+
+
 def test_base_phrases(spark, documents):
     rng = random.Random(2)
     parts = ["under the MIT license", "Apache License, Version 2.0", "CC-BY-NC", "cc by", "the mit", "license", "nc cc by nc", "under", "version 2", "w"]
