@@ -71,9 +71,9 @@ def sample_texts(
     """A bounded sample of training texts: at most ``per_label`` rows of each label.
 
     ``labelled`` has doc_id and the label; rows with a null label or id and held-out rows
-    are left out, and of several labels of an id the least counts. The rows with the smallest hash of their id are taken, so the sample does
-    not depend on the partitioning. The ids are chosen before any text is read, and texts
-    over ``longest`` characters are not used for training.
+    are left out, and of several labels of an id the least counts. Of ids that have a text of
+    up to ``longest`` characters those with the smallest hash are taken, so the sample does
+    not depend on the partitioning; null and longer texts take no place in it.
     """
 
     def least(df: DataFrame, *groups: str) -> DataFrame:
@@ -81,20 +81,20 @@ def sample_texts(
         order = Window.partitionBy(*groups).orderBy("rank", "doc_id")
         return df.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label)
 
+    texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= longest))
     ranked = (
         labelled.select("doc_id", F.col(label).alias("label"))
         .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
+        .join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
         .select("doc_id", "label", F.xxhash64("doc_id", F.lit(7)).alias("rank"))
         .withColumn("part", F.pmod("rank", F.lit(64)))
     )
     # First in 64 parts of each label, so that no task gathers from all others.
     chosen = least(least(ranked, "label", "part"), "label").select("doc_id", "label")
     rows = (
-        documents.select("doc_id", "text")
-        .where(F.col("text").isNotNull() & (F.length("text") <= longest))
-        .join(F.broadcast(chosen), "doc_id")  # per_label rows of each label
+        texts.join(F.broadcast(chosen), "doc_id")  # per_label rows of each label
         .groupBy("doc_id", "label")
         .agg(F.max("text").alias("text"))
         .collect()

@@ -80,6 +80,17 @@ def test_odd_texts_and_tables(spark, documents):
     assert crf_language.predict_language(empty[0]).collect() == []
 
 
+def test_sample_is_filled_with_usable_texts(spark):
+    from acctmart.llm.common import sample_texts
+
+    # Of each five rows of a label one has a usable text.
+    texts = [(i, f"text {i}" if i % 10 in (0, 1) else None if i % 3 else "long " * 20, "ab"[i % 2]) for i in range(600)]
+    docs = spark.createDataFrame([*texts, (0, None, "a"), (None, "no", "a")], "doc_id long, text string, lang string")
+    found = sample_texts(docs, docs.select("doc_id", "lang"), "lang", 20, longest=50)
+    assert sorted(lang for _, lang in found) == ["a"] * 20 + ["b"] * 20
+    assert all(t.startswith("text ") and int(t[5:]) % 2 == "ab".index(lang) for t, lang in found)
+
+
 def test_words_of_switched_text():
     english = "the cat sat on the mat and the dog was with them in this house"
     spanish = "el gato se sienta en la casa y el perro está con ellos en esta calle"
