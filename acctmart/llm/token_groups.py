@@ -352,6 +352,11 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     are others. A null text, or one without words, has no shingles and links with nothing;
     repeated rows link with each other. Other columns are ignored.
     """
+    return _components_of(docs, width, percent).drop("component")
+
+
+def _components_of(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """As ``jaccard_components``, with the component's own number, null for a row without shingles."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit("")).alias("text")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(), text)
@@ -370,10 +375,10 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     labelled = _labelled(members, "member_of", labels, "component")
     smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     done = splittable_join(labelled, smallest, ["component"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", "key"
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "key", "component"
     )
     alone = features.where("n = 0").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key"
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key", F.lit(None).alias("component")
     )
     return done.union(alone)
 
@@ -581,12 +586,13 @@ def _link_groups(stored: DataFrame, texts: DataFrame, width: int, percent: int)
 def one_of_each_component(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each component, that of the smallest doc_id, with all its columns.
 
-    Of several rows with that id the one with the smallest text hash stays. Rows without
-    shingles and components of null ids only stay as they are, identical rows being one.
+    Of several rows with that id, and of a component of null ids only, the one with the
+    smallest text hash stays. Rows without shingles stay as they are, identical rows being one.
     """
-    found = jaccard_components(docs, width, percent)
-    alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
-    chosen = found.where(~alone & (F.col("doc_id") == F.col("component_id")))
-    kept = chosen.groupBy("doc_id").agg(F.min("key").alias("key"))
+    found = _components_of(docs, width, percent)
+    alone = F.col("n_shingles") == 0
+    chosen = found.where(~alone & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    nameless = F.when(F.col("doc_id").isNull(), F.col("component")).alias("nameless")
+    kept = chosen.groupBy("doc_id", nameless).agg(F.min("key").alias("key")).select("doc_id", "key")
     kept = kept.union(found.where(alone).select("doc_id", "key"))
     return keep_rows(docs, kept, text_key())

@@ -71,3 +71,15 @@ def test_chain_of_links(spark, documents):
     found = token_groups.jaccard_components(documents(*texts.items())).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute.components(texts)
     assert {r["component_id"] for r in found} == {0}
+
+
+def test_one_of_each_component_of_null_ids(spark, documents):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words, f"end{i}"]) for i in range(5)]
+    other = " ".join(f"x{i}" for i in range(60))
+    docs = documents(*((None, t) for t in near), (None, other), (None, other + " more"), (None, ""))
+    kept = [r["text"] for r in token_groups.one_of_each_component(docs).collect()]
+    assert sorted(t[:2] for t in kept) == ["", "w0", "x0"]
+    mixed = documents(*((None, t) for t in near[1:]), (7, near[0]), (None, other))
+    kept = [(r["doc_id"], r["text"]) for r in token_groups.one_of_each_component(mixed).collect()]
+    assert sorted(kept, key=repr) == sorted([(7, near[0]), (None, other)], key=repr)
