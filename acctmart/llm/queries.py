@@ -15,8 +15,10 @@ from acctmart.llm import (
     html_text,
     id_files,
     license_scan,
+    periodic_runs,
     piece_bpe,
     positional_index,
+    token_counts,
     token_groups,
 )
 from acctmart.llm.common import read_table, shared_path
@@ -72,6 +74,15 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.score_quality(docs, labels)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(read_table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), model)
+
+
 _EXACT_GROUPS = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -91,6 +102,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_clause_grammar": op9_clause_grammar,
         "op10_byte_cnn": op10_byte_cnn,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_token_counts": op12_token_counts,
     }
 
 
