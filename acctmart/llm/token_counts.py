@@ -31,7 +31,7 @@ CACHED = 400_000
 #: Longer pre-tokens, in characters, are in neither.
 LONGEST = 48
 #: Summaries that are merged at a time.
-FAN_IN = 32
+FAN_IN = 8
 LIMIT = 4096
 
 MARK = "▁"
@@ -127,8 +127,10 @@ def _summarize(size: int):
 def _merge(size: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         counts: Counter[str] = Counter()
-        for keys, numbers in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist()):
-            counts.update(dict(zip(keys, numbers)))
+        for keys, numbers in zip(table.column("keys"), table.column("counts")):
+            counts.update(dict(zip(keys.as_py(), numbers.as_py())))
+            if len(counts) > 4 * size:
+                counts = Counter(_reduced(counts, size))
         total = pc.sum(table.column("total")).as_py()
         return pa.Table.from_batches([_row(key[0].as_py(), _reduced(counts, size), total)])
 
@@ -139,18 +141,16 @@ def frequent_pretokens(docs: DataFrame, size: int = FREQUENT) -> list[str]:
     """The most frequent pre-tokens of all texts, ``size`` at most.
 
     Every task summarizes what it reads in ``size`` entries; summaries are merged FAN_IN at
-    a time, in as many rounds as it takes, and the last FAN_IN on the driver.
+    a time, in as many rounds as it takes to have one.
     """
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     found, _ = write_table(texts.mapInArrow(_summarize(size), _SUMMARY), "summaries")
-    while found.count() > FAN_IN:
+    while found.count() > 1:
         group = F.floor(F.col("part") / FAN_IN)
         merged = found.groupBy(group.alias("group")).applyInArrow(_merge(size), _SUMMARY)
         found, _ = write_table(merged, "summaries")
-    counts: Counter[str] = Counter()
-    for row in found.collect():  # FAN_IN summaries at most
-        counts.update(dict(zip(row["keys"], row["counts"])))
-    return sorted(_reduced(counts, size))
+    last = found.select("keys").first()
+    return sorted(last["keys"]) if last else []
 
 
 class PretokenCounter:
