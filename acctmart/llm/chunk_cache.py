@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable
 
 #: Stretches a task keeps at most; the cache starts anew beyond it.
-CACHED = 1_000_000
+CACHED = 400_000
 #: Longer stretches are not kept.
 LONGEST = 100
 
@@ -48,8 +48,8 @@ class StretchEncoder:
             parts = text.split(" ")
             parts[0] = " " + parts[0]
             found = list(map(get, parts))
-            missing = [k for k, ids in enumerate(found) if ids is None]
-            if missing:
+            if None in found:
+                missing = [k for k, ids in enumerate(found) if ids is None]
                 open_texts.append((i, parts, found, missing))
                 for k in missing:
                     new[parts[k]] = b""

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctmart.llm.chunk_cache import StretchEncoder
-from acctmart.llm.common import slices
+from acctmart.llm.common import give_back, slices
 
 #: The character that stands for byte b in a piece is chr(FIRST + b).
 FIRST = 0x100
@@ -121,30 +121,33 @@ def encode_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, pattern)
-        for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
-                counts, digests, back, all_ids, texts = [], [], [], [], []
-                for data in codec.encode(part.column("text").to_pylist()):
-                    ids = np.frombuffer(data, "<u4")
-                    text = codec.decode(ids.tolist())
-                    counts.append(len(ids))
-                    digests.append(hashlib.sha256(data).hexdigest())
-                    back.append(hashlib.sha256(text).hexdigest())
+        try:
+            for batch in batches:
+                for part in slices(batch, "text", 1 << 20):
+                    counts, digests, back, all_ids, texts = [], [], [], [], []
+                    for data in codec.encode(part.column("text").to_pylist()):
+                        ids = np.frombuffer(data, "<u4")
+                        text = codec.decode(ids.tolist())
+                        counts.append(len(ids))
+                        digests.append(hashlib.sha256(data).hexdigest())
+                        back.append(hashlib.sha256(text).hexdigest())
+                        if with_ids:
+                            all_ids.append(ids.astype(np.int32))
+                        if decoded:
+                            texts.append(text)
+                    columns = {
+                        "doc_id": part.column("doc_id"),
+                        "n_tokens": pa.array(counts, pa.int64()),
+                        "ids_sha256": pa.array(digests, pa.string()),
+                        "decoded_sha256": pa.array(back, pa.string()),
+                    }
                     if with_ids:
-                        all_ids.append(ids.astype(np.int32))
+                        columns["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
                     if decoded:
-                        texts.append(text)
-                columns = {
-                    "doc_id": part.column("doc_id"),
-                    "n_tokens": pa.array(counts, pa.int64()),
-                    "ids_sha256": pa.array(digests, pa.string()),
-                    "decoded_sha256": pa.array(back, pa.string()),
-                }
-                if with_ids:
-                    columns["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
-                if decoded:
-                    columns["decoded"] = pa.array(texts, pa.binary())
-                yield pa.RecordBatch.from_pydict(columns)
+                        columns["decoded"] = pa.array(texts, pa.binary())
+                    yield pa.RecordBatch.from_pydict(columns)
+        finally:
+            give_back(codec.encode.known)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded binary" * decoded
