@@ -34,6 +34,8 @@ DICTIONARY_BYTES = 64 << 10
 #: Documents, and characters of each, that the dictionary is trained on at most.
 TRAIN_DOCUMENTS, TRAIN_LONGEST = 1000, 20_000
 BLOCK_BYTES = 1 << 20
+#: Encoded stretches a worker keeps at most.
+CACHED = 1_000_000
 
 _BLOCK = (
     "part int, block int, first_doc long, last_doc long, part_start long, block_tokens long, "
@@ -42,6 +44,13 @@ _BLOCK = (
 _ENCODERS: dict[int, StretchEncoder] = {}
 
 
+def _space_starts(tokenizer: Tokenizer) -> np.ndarray:
+    """Which ids stand for a token that begins with a space, in a byte-level vocabulary."""
+    starts = np.zeros(tokenizer.get_vocab_size(), bool)
+    starts[[i for token, i in tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
+    return starts
+
+
 def _encoder(definition: str) -> StretchEncoder:
     """The task's encoder of a tokenizer definition; kept by the worker process."""
     key = hash(definition)
@@ -55,20 +64,24 @@ def _encoder(definition: str) -> StretchEncoder:
             found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(e.ids, STORED).tobytes() for e in found]
 
+        space = _space_starts(tokenizer)
+
         def encode_joined(stretches: list[str]) -> list[bytes]:
             out = []
-            for a in range(0, len(stretches), 2000):
-                some = stretches[a : a + 2000]
-                ends = np.cumsum([len(s) for s in some])
-                found = tokenizer.encode("".join(some), add_special_tokens=False)
-                ids = np.array(found.ids, STORED).tobytes()
-                # Each stretch has the tokens that begin within it.
-                starts = [start for start, _ in found.offsets]
-                cuts = (np.searchsorted(starts, ends) * STORED.itemsize).tolist()
-                out += [ids[x:y] for x, y in zip([0, *cuts], cuts)]
+            for a in range(0, len(stretches), 8000):
+                some = stretches[a : a + 8000]
+                text = "".join(some)
+                ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, STORED)
+                # Each stretch's only space begins its first token.
+                cuts = np.flatnonzero(space[ids])
+                if len(cuts) != len(some) or cuts[0]:
+                    out += encode(some)
+                    continue
+                cuts, data = (cuts * STORED.itemsize).tolist(), ids.tobytes()
+                out += [data[x:y] for x, y in zip(cuts, [*cuts[1:], len(data)])]
             return out
 
-        _ENCODERS[key] = StretchEncoder(encode, encode_joined)
+        _ENCODERS[key] = StretchEncoder(encode, encode_joined, CACHED)
     return _ENCODERS[key]
 
 
