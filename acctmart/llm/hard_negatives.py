@@ -22,17 +22,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctmart.llm.common import write_table
 from acctmart.operators.joins import splittable_join
+from acctmart.operators.positions import with_positions
 
 #: Nodes that the directions are fitted to at most, and the number of directions.
 SAMPLE, DIRECTIONS = 4096, 16
-#: Nodes of a block and of a window, and queries of a block.
-BLOCK, WINDOW, QUERIES = 8192, 64, 2048
+#: Nodes of a block and of a window, queries of a block, and blocks whose queries are put together.
+BLOCK, WINDOW, QUERIES, QUERY_BLOCKS = 8192, 64, 2048, 16
 #: Nodes of a block, evenly spaced, that are scored first to raise the scores asked for.
 FIRST = 512
 #: Query blocks whose heads meet those of the nodes' blocks in one task.
@@ -146,29 +146,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), len(values) // max(1, len(column)))
 
 
-def _same_size(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of one vector length, ``most`` at a time."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    joined = lambda: pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-    for batch in batches:
-        sizes = batch.column("size").to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(edges, edges[1:]):
-            if rows and held[0].column("size")[0].as_py() != sizes[a]:
-                yield joined()
-                held, rows = [], 0
-            while a < b:
-                some = batch.slice(a, min(b - a, most - rows))
-                held.append(some)
-                a, rows = a + some.num_rows, rows + some.num_rows
-                if rows == most:
-                    yield joined()
-                    held, rows = [], 0
-    if rows:
-        yield joined()
-
-
 _FLOATS = np.float32
 _NODE = "node long, label long, vec array<long>, ids array<long>, is_query boolean"
 _HEAD = "head_low array<float>, head_high array<float>, head_least float, head_largest float"
@@ -240,35 +217,34 @@ def floors_within(vecs: np.ndarray, labels: np.ndarray, places: np.ndarray, nth:
 
 
 def _blocks(layout: Callable[[], Layout], nth: int):
-    """Blocks of consecutive nodes, with windows of angles and norms."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for i, table in enumerate(_same_size(batches, BLOCK)):
-            vecs, labels, ids = _matrix(table.column("vec")), table.column("label").to_numpy(), table.column("ids")
-            angles, norms = layout().angles(vecs)
-            cuts = np.arange(0, len(vecs), WINDOW)
-            places = np.flatnonzero(table.column("is_query").to_numpy(zero_copy_only=False))
-            windows = {
-                "low": np.minimum.reduceat(angles, cuts),
-                "high": np.maximum.reduceat(angles, cuts),
-                "least": np.minimum.reduceat(norms, cuts),
-                "largest": np.maximum.reduceat(norms, cuts),
-            }
-            row = {
-                "block": (part << 32) + i,
-                "size": vecs.shape[1],
-                "rows": len(vecs),
-                "vecs": _packed(vecs),
-                "labels": _packed(labels),
-                "nodes": _packed(table.column("node").to_numpy()),
-                "ids": _packed(ids.flatten().to_numpy()),
-                "held": _packed(np.diff(ids.offsets.to_numpy())),
-                "places": places.tolist(),
-                "floors": floors_within(vecs, labels, places, nth).tolist(),
-            }
-            row |= {k: v.astype(_FLOATS).tobytes() for k, v in windows.items()} | _head(angles, norms)
-            yield pa.RecordBatch.from_pylist([row], _arrow(_BLOCK))
+    """A block of nodes of consecutive places, with windows of angles and norms."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        batch = table.sort_by("place").combine_chunks().to_batches()[0]
+        vecs, labels, ids = _matrix(batch.column("vec")), batch.column("label").to_numpy(), batch.column("ids")
+        angles, norms = layout().angles(vecs)
+        cuts = np.arange(0, len(vecs), WINDOW)
+        queries = np.flatnonzero(batch.column("is_query").to_numpy(zero_copy_only=False))
+        windows = {
+            "low": np.minimum.reduceat(angles, cuts),
+            "high": np.maximum.reduceat(angles, cuts),
+            "least": np.minimum.reduceat(norms, cuts),
+            "largest": np.maximum.reduceat(norms, cuts),
+        }
+        row = {
+            "block": batch.column("place")[0].as_py(),
+            "size": vecs.shape[1],
+            "rows": len(vecs),
+            "vecs": _packed(vecs),
+            "labels": _packed(labels),
+            "nodes": _packed(batch.column("node").to_numpy()),
+            "ids": _packed(ids.flatten().to_numpy()),
+            "held": _packed(np.diff(ids.offsets.to_numpy())),
+            "places": queries.tolist(),
+            "floors": floors_within(vecs, labels, queries, nth).tolist(),
+        }
+        row |= {k: v.astype(_FLOATS).tobytes() for k, v in windows.items()} | _head(angles, norms)
+        return pa.Table.from_pylist([row], _arrow(_BLOCK))
 
     return run
 
@@ -296,32 +272,34 @@ def _query_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _QUERY = "node long, label long, vec array<long>, size int, block long, place int, floor long"
 
 
-def _query_blocks(layout: Callable[[], Layout]):
-    """Blocks of consecutive queries; ``lows`` and ``highs`` are the ranges each one asks for."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for i, table in enumerate(_same_size(batches, QUERIES)):
-            vecs, lows, highs = (table.column(k) for k in ("vec", "lows", "highs"))
-            vecs, lows, highs = _matrix(vecs), lows.to_pylist(), highs.to_pylist()
-            angles, norms = layout().angles(vecs)
-            width = max(map(len, lows))
-            # Shorter lists are filled up with a range that nothing is in.
-            asked = [[x + [fill] * (width - len(x)) for x in xs] for xs, fill in ((lows, HIGHEST), (highs, LOWEST))]
-            row = {
-                "query_block": (part << 32) + i,
-                "query_size": vecs.shape[1],
-                "query_rows": len(vecs),
-                "query_nodes": _packed(table.column("node").to_numpy()),
-                "query_labels": _packed(table.column("label").to_numpy()),
-                "query_vecs": _packed(vecs),
-                "query_angles": angles.astype(_FLOATS).tobytes(),
-                "query_norms": norms.astype(_FLOATS).tobytes(),
-                "asked": _packed(np.array(asked, np.int64)),
-                "lowest": min(x for xs in lows for x in xs),
-                "highest": max(x for xs in highs for x in xs),
-            }
-            yield pa.RecordBatch.from_pylist([row | _head(angles, norms, "query")], _arrow(_QUERY_BLOCK))
+def _query_blocks(layout: Callable[[], Layout], most: int):
+    """Blocks of ``most`` queries; ``lows`` and ``highs`` are the ranges each one asks for."""
+
+    def block(batch: pa.RecordBatch) -> dict:
+        vecs, lows, highs = (batch.column(k) for k in ("vec", "lows", "highs"))
+        vecs, lows, highs = _matrix(vecs), lows.to_pylist(), highs.to_pylist()
+        angles, norms = layout().angles(vecs)
+        width = max(map(len, lows))
+        # Shorter lists are filled up with a range that nothing is in.
+        asked = [[x + [fill] * (width - len(x)) for x in xs] for xs, fill in ((lows, HIGHEST), (highs, LOWEST))]
+        return {
+            "query_block": batch.column("node")[0].as_py(),
+            "query_size": vecs.shape[1],
+            "query_rows": len(vecs),
+            "query_nodes": _packed(batch.column("node").to_numpy()),
+            "query_labels": _packed(batch.column("label").to_numpy()),
+            "query_vecs": _packed(vecs),
+            "query_angles": angles.astype(_FLOATS).tobytes(),
+            "query_norms": norms.astype(_FLOATS).tobytes(),
+            "asked": _packed(np.array(asked, np.int64)),
+            "lowest": min(x for xs in lows for x in xs),
+            "highest": max(x for xs in highs for x in xs),
+        } | _head(angles, norms, "query")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        batch = table.sort_by([("block", "ascending"), ("place", "ascending")]).combine_chunks().to_batches()[0]
+        rows = [block(batch.slice(i, most)) for i in range(0, batch.num_rows, most)]
+        return pa.Table.from_pylist(rows, _arrow(_QUERY_BLOCK))
 
     return run
 
@@ -499,15 +477,17 @@ def mine(
     shared = spark.sparkContext.broadcast(Layout(fitted, DIRECTIONS))
     layout = lambda: shared.value
     placed = nodes.mapInArrow(_place(layout), _NODE + ", size int, cell int, own float")
-    # A node's number spreads vectors that are alike.
-    order = ("size", "cell", "own", "node")
-    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    blocks, _ = write_table(ordered.mapInArrow(_blocks(layout, most), _BLOCK), "blocks")
+    # A node's number parts vectors that are alike.
+    order = [F.col(c) for c in ("size", "cell", "own", "node")]
+    numbered = with_positions(placed, order, "place").withColumn("nth", F.floor(F.col("place") / BLOCK))
+    blocks = numbered.groupBy("size", "nth").applyInArrow(_blocks(layout, most), _BLOCK)
+    blocks, _ = write_table(blocks, "blocks")
     queries, _ = write_table(blocks.mapInArrow(_query_rows, _QUERY), "queries")
 
     def asking(df: DataFrame) -> DataFrame:
-        ordered = df.repartitionByRange("size", "block", "place").sortWithinPartitions("size", "block", "place")
-        return write_table(ordered.mapInArrow(_query_blocks(layout), _QUERY_BLOCK), "asked")[0]
+        some = df.withColumn("nth", F.floor(F.col("block") / (QUERY_BLOCKS * BLOCK)))
+        made = some.groupBy("size", "nth").applyInArrow(_query_blocks(layout, QUERIES), _QUERY_BLOCK)
+        return write_table(made, "asked")[0]
 
     first = asking(queries.withColumns({"lows": F.array("floor"), "highs": F.array(F.lit(HIGHEST))}).drop("floor"))
     near = best_matches(blocks, first, same_label=True, keep=most)

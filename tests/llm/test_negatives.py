@@ -51,7 +51,7 @@ def clustered(n, size, seed, spread=0.2, clusters=5, labels=3):
 
 @pytest.mark.parametrize("spread", [0.01, 0.3, 3.0])
 def test_many_blocks(spark, monkeypatch, spread):
-    for name, value in {"BLOCK": 130, "QUERIES": 20, "LANE": 2, "SAMPLE": 100}.items():
+    for name, value in {"BLOCK": 130, "QUERIES": 20, "QUERY_BLOCKS": 2, "LANE": 2, "SAMPLE": 100}.items():
         monkeypatch.setattr(hard_negatives, name, value)
     rows = clustered(700, 8, seed=int(spread * 100), spread=spread)
     found = mined(spark, rows)
