@@ -18,15 +18,21 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctmart.llm.common import free_name, slices, text_key
 
-#: Words of a shard, about; a longer document has a shard of its own.
+#: Words and documents of a shard, about; a longer document has a shard of its own.
 SHARD_WORDS = 500_000
-#: Bytes of benchmark text that are searched for at a time.
+#: Bytes of benchmark that are broadcast at most, and that a task searches for at a time beyond it.
 BLOCK_BYTES = 8 << 20
+#: Bytes that an item counts besides its text.
+ITEM_BYTES = 64
+#: Shards, about, that a task searches for one block of a benchmark beyond BLOCK_BYTES.
+LANE_SHARDS = 8
 
 #: A-Z in lower case; all other bytes up to 0x7F that are no digit or letter, as blanks.
 _FOLD = bytes(
@@ -49,12 +55,13 @@ class Numbering(dict):
 
 
 _SHARD = (
-    "doc_ids array<long>, text_keys array<long>, n_words array<long>, "
+    "shard long, doc_ids array<long>, text_keys array<long>, n_words array<long>, "
     "terms binary, n_places binary, places binary"
 )
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.RecordBatch]:
+    first, made = TaskContext.get().partitionId() << 33, 0
     ids: list[int | None] = []
     keys: list[int] = []
     counts: list[int] = []
@@ -69,6 +76,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.bincount(terms, minlength=len(numbers)).astype("<i4")
         return pa.RecordBatch.from_pydict(
             {
+                "shard": pa.array([first + made], pa.int64()),
                 "doc_ids": pa.array([ids], pa.list_(pa.int64())),
                 "text_keys": pa.array([keys], pa.list_(pa.int64())),
                 "n_words": pa.array([counts], pa.list_(pa.int64())),
@@ -83,8 +91,9 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = (part.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))
             for doc_id, key, text in zip(*columns):
                 found = words_of(text)
-                if words and len(words) + len(found) > SHARD_WORDS:
+                if ids and len(words) + len(ids) + len(found) > shard_words:
                     yield flush()
+                    made += 1
                     ids, keys, counts, words = [], [], [], []
                 ids.append(doc_id)
                 keys.append(key)
@@ -101,7 +110,8 @@ def write_index(docs: DataFrame, path: str) -> None:
     ignored.
     """
     rows = docs.select("doc_id", text_key().alias("text_key"), "text")
-    rows.mapInArrow(_shards, _SHARD).write.option("compression", "zstd").parquet(path)
+    shard_words = SHARD_WORDS
+    rows.mapInArrow(lambda batches: _cut(batches, shard_words), _SHARD).write.option("compression", "zstd").parquet(path)
 
 
 class Shard:
@@ -206,16 +216,74 @@ def item_hits(shard: Shard, words: Sequence[bytes], window: int) -> tuple[np.nda
 Items = list[tuple[int, list[bytes]]]
 
 
-def item_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[Items]:
-    """The benchmark's items as words, in blocks of bounded size read one after the other."""
-    block, size = [], 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        block.append((row["item_id"], words_of(row["text"])))
-        size += len(row["text"] or "")
-        if size > limit:
-            yield block
-            block, size = [], 0
-    yield block
+_SPANS = (
+    "doc_id long, text_key long, n_words long, firsts array<long>, lasts array<long>, items array<long>"
+)
+
+
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """item_id, text of the items that can have words."""
+    return benchmark.select("item_id", "text").where(F.length("text") > 0)
+
+
+def benchmark_blocks(items: DataFrame) -> int:
+    """How many blocks of BLOCK_BYTES the items take; 0 and 1 can be broadcast."""
+    size = items.select(F.sum(F.octet_length("text") + ITEM_BYTES).alias("n")).first()["n"] or 0
+    return -(-size // BLOCK_BYTES)
+
+
+def benchmark_spans(path: str, benchmark: DataFrame, window: int = 13) -> DataFrame:
+    """``phrase_spans`` of a whole benchmark, whatever its size.
+
+    One of up to BLOCK_BYTES is broadcast. A larger one never passes through the driver: its
+    items are dealt by hash to blocks of about that size, the shards to lanes of about
+    LANE_SHARDS, and blocks and lanes meet by key, one pair in a task at a time. The shuffle
+    then is the index once for every block, and every block once for each lane. A document's
+    spans of several blocks are put together by its place in the index, so that rows which
+    agree in everything stay apart.
+    """
+    spark = benchmark.sparkSession
+    items = benchmark_items(benchmark)
+    n_blocks = benchmark_blocks(items)
+    if n_blocks <= 1:
+        return phrase_spans(spark, path, [(r["item_id"], words_of(r["text"])) for r in items.collect()], window)
+    stored = spark.read.schema(_SHARD).parquet(path)
+    lanes = -(-stored.count() // LANE_SHARDS)
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(max(1, n) - 1)))
+
+    lane = F.pmod(F.xxhash64("shard"), F.lit(max(1, lanes))).cast("int")
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)).cast("int")
+    shards = stored.withColumn("lane", lane).withColumn("block", every(n_blocks))
+    dealt = items.distinct().withColumn("block", block).withColumn("lane", every(lanes))
+
+    def search(key: tuple, shards: pa.Table, some: pa.Table) -> pa.Table:
+        columns = (some.column(c).to_pylist() for c in ("item_id", "text"))
+        wanted = [(item_id, words_of(text)) for item_id, text in zip(*columns)]
+        rows = (shards.slice(i, 1).to_pylist()[0] for i in range(len(shards)))
+        found = [_of_block(row, wanted, window, key[0].as_py()) for row in rows]
+        return pa.Table.from_batches(found, _arrow_of_block())
+
+    both = shards.groupBy("block", "lane").cogroup(dealt.groupBy("block", "lane"))
+    found = both.applyInArrow(search, f"shard long, at long, {_SPANS}")
+    lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("firsts", "lasts", "items")]  # a row of each block
+    return found.groupBy("shard", "at", "doc_id", "text_key", "n_words").agg(*lists).drop("shard", "at")
+
+
+def _arrow_of_block() -> pa.Schema:
+    fields = (f.split() for f in f"shard long, at long, {_SPANS}".split(", "))
+    return pa.schema([(k, pa.int64() if t == "long" else pa.list_(pa.int64())) for k, t in fields])
+
+
+def _of_block(row: dict, items: Items, window: int, block: int) -> pa.RecordBatch:
+    """The spans of a shard's documents, those without any from the first block only."""
+    found = _search(row, items, window)
+    at = np.arange(found.num_rows)
+    numbers = [pa.array(np.full(found.num_rows, row["shard"])), pa.array(at)]
+    found = pa.RecordBatch.from_arrays([*numbers, *found.columns], schema=_arrow_of_block())
+    hit = pc.greater(pc.list_value_length(found.column("firsts")), 0)
+    return found if block == 0 else found.filter(hit)
 
 
 def phrase_spans(spark: SparkSession, path: str, items: Items, window: int = 13) -> DataFrame:
@@ -223,7 +291,8 @@ def phrase_spans(spark: SparkSession, path: str, items: Items, window: int = 13)
 
     ``firsts`` and ``lasts`` bound, in words from 0, the stretches of the document that
     occurrences of windows cover, joined where they touch; ``items`` are the ids whose
-    windows occur.
+    windows occur. The items asked for are broadcast; ``benchmark_spans`` takes a table of
+    any size.
     """
     shared = spark.sparkContext.broadcast(items)
 
@@ -232,11 +301,7 @@ def phrase_spans(spark: SparkSession, path: str, items: Items, window: int = 13)
             for row in batch.to_pylist():
                 yield _search(row, shared.value, window)
 
-    schema = (
-        "doc_id long, text_key long, n_words long, firsts array<long>, lasts array<long>, "
-        "items array<long>"
-    )
-    return spark.read.schema(_SHARD).parquet(path).mapInArrow(run, schema)
+    return spark.read.schema(_SHARD).parquet(path).mapInArrow(run, _SPANS)
 
 
 def _search(row: dict, items: Items, window: int) -> pa.RecordBatch:
@@ -310,27 +375,11 @@ def contamination(
     or a shorter item as a whole. A document with a hit is contaminated if at least one in
     ``share`` of its words is hit. Null texts and items have no words; items without words
     are never found; items of the same id count once, and those of a null id only hit words.
-    The index is written to ``path``. A benchmark over ``BLOCK_BYTES`` is searched in blocks, whose spans are joined.
+    The index is written to ``path``. A benchmark over ``BLOCK_BYTES`` is searched in blocks,
+    as ``benchmark_spans`` has it, with the same result.
     """
-    spark = docs.sparkSession
     write_index(docs, path)
-    keys = ["doc_id", "text_key", "n_words"]
-    parts = [phrase_spans(spark, path, block, window) for block in item_blocks(benchmark)]
-    if len(parts) == 1:
-        spans = parts[0]
-    else:
-        both = parts[0]
-        for part in parts[1:]:
-            both = both.union(part)
-        # Rows that agree in id and text have the same spans, so they are joined as one and
-        # multiplied again.
-        grouped = both.groupBy(*keys).agg(
-            F.flatten(F.collect_list("firsts")).alias("firsts"),
-            F.flatten(F.collect_list("lasts")).alias("lasts"),
-            F.flatten(F.collect_list("items")).alias("items"),
-            (F.count(F.lit(1)) / len(parts)).cast("int").alias("copies"),
-        )
-        spans = grouped.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    spans = benchmark_spans(path, benchmark, window)
     return spans.mapInArrow(
         _summaries(share),
         "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "

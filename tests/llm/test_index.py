@@ -29,10 +29,10 @@ def corpus(seed=5):
 def test_contamination(spark, documents, tmp_path, monkeypatch, shard, block):
     """Also with many small shards, and with the benchmark in many blocks."""
     monkeypatch.setattr(positional_index, "SHARD_WORDS", shard)
+    monkeypatch.setattr(positional_index, "BLOCK_BYTES", block)
     texts, items = corpus()
     benchmark = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
-    blocks = list(positional_index.item_blocks(benchmark, block))
-    monkeypatch.setattr(positional_index, "item_blocks", lambda _: iter(blocks))
+    assert positional_index.benchmark_blocks(positional_index.benchmark_items(benchmark)) > 10 or block > 1 << 20
     found = positional_index.contamination(documents(*enumerate(texts)), benchmark, str(tmp_path / "i")).collect()
     got = {r["doc_id"]: tuple(r)[1:6] for r in found}
     assert len(found) == len(texts)
@@ -40,6 +40,22 @@ def test_contamination(spark, documents, tmp_path, monkeypatch, shard, block):
     assert any(v[-1] for v in got.values()) and any(v[1] and not v[-1] for v in got.values())
 
 
+def test_a_large_benchmark_gives_what_a_small_one_does(spark, documents, tmp_path, monkeypatch):
+    """Repeated documents stay apart, and repeated items and those of a null id count as ever."""
+    texts, items = corpus(7)
+    pairs = [*enumerate(texts), *[(5, texts[5])] * 9, *[(None, texts[6])] * 4, (None, None), (None, "")]
+    rows = [*items, *items[:4], (None, texts[6]), (None, items[2][1]), (None, None)]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string").repartition(4)
+    monkeypatch.setattr(positional_index, "SHARD_WORDS", 400)
+    results = []
+    for name, limit in (("a", 8 << 20), ("b", 300)):
+        monkeypatch.setattr(positional_index, "BLOCK_BYTES", limit)
+        found = positional_index.contamination(documents(*pairs), benchmark, str(tmp_path / name)).collect()
+        results.append(sorted((tuple(r) for r in found), key=repr))
+    assert results[0] == results[1] and len(results[0]) == len(pairs)
+    assert any(r[2] for r in results[0] if r[0] is None)
+
+
 def test_stage_drops_contaminated_rows_only(spark, documents, tmp_path):
     texts, items = corpus(6)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
