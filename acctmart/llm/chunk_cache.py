@@ -24,11 +24,15 @@ class StretchEncoder:
     """Encodes texts to the bytes of their ids.
 
     ``encode`` does so for any texts. ``encode_joined`` does for stretches that begin with
-    a space before a non-space, whose concatenation may be encoded at once.
+    a space before a non-space, whose concatenation may be encoded at once. Texts that hold
+    one of ``marks``, which stretches could cut, are encoded as a whole.
     """
 
-    def __init__(self, encode: Encode, encode_joined: Encode | None = None, cached: int = CACHED) -> None:
+    def __init__(
+        self, encode: Encode, encode_joined: Encode | None = None, cached: int = CACHED, marks: tuple[str, ...] = ()
+    ) -> None:
         self.encode = encode
+        self.marks = marks
         self.encode_joined = encode_joined or encode
         self.cached = cached
         self.known: dict[str, bytes] = {}
@@ -41,7 +45,7 @@ class StretchEncoder:
         result: list[bytes] = [b""] * len(texts)
         whole, open_texts, new = [], [], {}
         for i, text in enumerate(texts):
-            if _UNSAFE.search(text):
+            if _UNSAFE.search(text) or (self.marks and any(m in text for m in self.marks)):
                 whole.append(i)
                 continue
             # The first stretch has no space before it, and a space as its mark here.

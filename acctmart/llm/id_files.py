@@ -41,7 +41,7 @@ _BLOCK = (
     "part int, block int, first_doc long, last_doc long, part_start long, block_tokens long, "
     "dictionary string, doc_ids array<long>, n_tokens array<long>, ends array<long>, frames binary"
 )
-_ENCODERS: dict[int, StretchEncoder] = {}
+_ENCODERS: dict[tuple[int, bool], StretchEncoder] = {}
 
 
 def _space_starts(tokenizer: Tokenizer) -> np.ndarray:
@@ -51,12 +51,12 @@ def _space_starts(tokenizer: Tokenizer) -> np.ndarray:
     return starts
 
 
-def _encoder(definition: str) -> StretchEncoder:
+def _encoder(definition: str, special_as_text: bool) -> StretchEncoder:
     """The task's encoder of a tokenizer definition; kept by the worker process."""
-    key = hash(definition)
+    key = hash(definition), special_as_text
     if key not in _ENCODERS:
         tokenizer = Tokenizer.from_str(definition)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = special_as_text
         if tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids over two bytes")
 
@@ -81,7 +81,10 @@ def _encoder(definition: str) -> StretchEncoder:
                 out += [data[x:y] for x, y in zip(cuts, [*cuts[1:], len(data)])]
             return out
 
-        _ENCODERS[key] = StretchEncoder(encode, encode_joined, CACHED)
+        marks = tuple(token.content for token in tokenizer.get_added_tokens_decoder().values())
+        # A mark with a space could also come about where stretches are joined.
+        joined = None if any(" " in m for m in marks) else encode_joined
+        _ENCODERS[key] = StretchEncoder(encode, joined, CACHED, marks)
     return _ENCODERS[key]
 
 
@@ -97,7 +100,7 @@ def _codec(dictionary: bytes) -> dict:
     return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
 
 
-def sample_ids(docs: DataFrame, definition: str) -> list[bytes]:
+def sample_ids(docs: DataFrame, definition: str, special_as_text: bool) -> list[bytes]:
     """Serialized ids of a bounded sample of documents, chosen by a hash of their id."""
     total = max(1, docs.count())
     kept = docs.where(
@@ -105,21 +108,25 @@ def sample_ids(docs: DataFrame, definition: str) -> list[bytes]:
         & (F.length("text") <= TRAIN_LONGEST)
     )
     texts = [r["text"] for r in kept.select("text").limit(TRAIN_DOCUMENTS).collect()]
-    return _encoder(definition)(texts)
+    return _encoder(definition, special_as_text)(texts)
 
 
-def write_id_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
+def write_id_files(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, special_as_text: bool = True
+) -> None:
     """Encode every whole text, with ``end_id`` after each, and write the files to ``path``.
 
     ``tokenizer`` is the path of a tokenizers definition on the driver. A null text counts as
     empty: it has the end id alone. Rows are ordered by doc_id, null first, and rows of the
-    same doc_id by text; repeated rows are all written. Other columns are ignored.
+    same doc_id by text; repeated rows are all written. Other columns are ignored. A special
+    token's name in a text is text; without ``special_as_text`` it is that token's id, as the
+    library has it unless told otherwise.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     with open(tokenizer, encoding="utf-8") as file:
         definition = file.read()
-    dictionary = train_dictionary(sample_ids(docs, definition))
+    dictionary = train_dictionary(sample_ids(docs, definition, special_as_text))
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, dictionary)], "hash string, dictionary binary").coalesce(
         1
@@ -129,7 +136,7 @@ def write_id_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         definition, dictionary = shared.value
-        encode = _encoder(definition)
+        encode = _encoder(definition, special_as_text)
         compress = zstandard.ZstdCompressor(level=3, **_codec(dictionary)).compress
         part, block, start = TaskContext.get().partitionId(), 0, 0
         ids, counts, ends, frames, size = [], [], [], [], 0

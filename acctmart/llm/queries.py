@@ -33,7 +33,8 @@ def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "ids")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    id_files.write_id_files(read_table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    docs = read_table(spark, sf_dir, "documents")
+    id_files.write_id_files(docs, path, tokenizer, end_id=2, special_as_text=False)
     return id_files.read_id_files(spark, path, with_ids=False)
 
 

@@ -57,6 +57,20 @@ def test_ids_come_back(spark, written):
         start += r["n_tokens"]
 
 
+def test_special_names_are_ids_by_the_library_s_default(spark, tmp_path):
+    mark = "<|endoftext|>"
+    texts = [mark, f"a {mark} b", f"a{mark}b", f" {mark}{mark} ", f"one two {mark}", "<|endof text|> a", "plain words"]
+    texts += [t.replace(" ", f" {mark}", 1) for t in odd_texts(60) if t]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    library = Tokenizer.from_file(JSON)
+    for name, as_text in (("a", False), ("b", True)):
+        library.encode_special_tokens = as_text
+        id_files.write_id_files(docs, str(tmp_path / name), JSON, special_as_text=as_text)
+        found = {r["doc_id"]: r["ids"] for r in id_files.read_id_files(spark, str(tmp_path / name)).collect()}
+        assert found == {i: [*library.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+        assert (50256 in found[1]) != as_text
+
+
 def test_one_document(spark, written):
     path, _ = written
     library = Tokenizer.from_file(JSON)
