@@ -62,6 +62,18 @@ def distinct_nodes(rows: DataFrame, ids: int) -> DataFrame:
     return nodes.select(F.monotonically_increasing_id().alias("node"), "label", "vec", "ids", "is_query")
 
 
+def sample_vectors(nodes: DataFrame, most: int) -> list[list[int]]:
+    """At most ``most`` vectors of nodes, those with the smallest hashes of a share of all.
+
+    The share is such that a few times as many reach the driver, whatever the number of tasks:
+    without it, every task would send ``most`` of its own.
+    """
+    share = F.lit(max(1, nodes.count() // (2 * most)))
+    hashed = nodes.select("vec", F.xxhash64("label", "vec").alias("hash"), "node")
+    some = hashed.where(F.pmod("hash", share) == 0).orderBy("hash", "node").limit(most)
+    return [r["vec"] for r in some.select("vec").collect()]
+
+
 def fit_directions(sample: list[np.ndarray], count: int, seed: int = 13) -> np.ndarray:
     """Unit directions near the centres of a sample's clusters. Any directions give right bounds."""
     x = np.array(sample, float)
@@ -469,10 +481,9 @@ def mine(
     rows = usable_rows(embeddings, scale).withColumn("is_anchor", F.coalesce(anchors, F.lit(False)))
     most = positives + 1  # with the anchor itself
     nodes, _ = write_table(distinct_nodes(rows, most), "nodes")
-    sample = nodes.orderBy(F.xxhash64("vec"), "node").limit(SAMPLE).select("vec").collect()
     by_size: dict[int, list] = {}
-    for r in sample:
-        by_size.setdefault(len(r["vec"]), []).append(r["vec"])
+    for vec in sample_vectors(nodes, SAMPLE):
+        by_size.setdefault(len(vec), []).append(vec)
     fitted = {size: fit_directions(vecs, DIRECTIONS) for size, vecs in by_size.items()}
     shared = spark.sparkContext.broadcast(Layout(fitted, DIRECTIONS))
     layout = lambda: shared.value

@@ -92,6 +92,15 @@ def test_scores_are_exact_whatever_their_size(spark, size):
     assert found == plain(rows, lowest=1, highest=100) and found
 
 
+def test_few_vectors_of_many_tasks_reach_the_driver(spark):
+    nodes = spark.range(20_000, numPartitions=40).selectExpr("id AS node", "id % 3 AS label", "array(id, -id) AS vec")
+    sample = hard_negatives.sample_vectors(nodes, 50)
+    assert len(sample) == 50 == len({v[0] for v in sample}) and max(v[0] for v in sample) > 10_000
+    assert sample == hard_negatives.sample_vectors(nodes.repartition(7), 50)
+    assert len(hard_negatives.sample_vectors(nodes.limit(9), 50)) == 9
+    assert hard_negatives.sample_vectors(nodes.limit(0), 50) == []
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(7)
     for size in (2, 5, 64):
